@@ -28,7 +28,7 @@ from clickloom.streaming.dedup import once_per_id
 from clickloom.streaming.feed import timed_clicks
 from clickloom.streaming.pipeline import start_documents
 from clickloom.streaming.replay import Replay, deliver
-from clickloom.streaming.run import append_files, append_live
+from clickloom.streaming.run import append_files, append_live, state_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,10 +253,15 @@ def _replay(spark: SparkSession, tables: str) -> Replay:
     """The derived lines as delivered files; written once per application."""
     key = (spark.sparkContext.applicationId, tables)
     if key not in _replays:
-        _replays[key] = deliver(derived_lines(spark, tables))
+        _replays[key] = deliver(derived_lines(spark, tables), slices=3)
     return _replays[key]
 
 
+def _small_state(spark: SparkSession, replay: Replay):
+    """No more state partitions than there are files or cores."""
+    return state_partitions(spark, max(replay.files, spark.sparkContext.defaultParallelism))
+
+
 def _stream_counts(subject: str, unit: str) -> Query:
     """A live count table after the replay."""
     def query(spark: SparkSession, tables: str) -> DataFrame:
@@ -264,7 +269,9 @@ def _stream_counts(subject: str, unit: str) -> Query:
         clicks = timed_clicks(replay.feed(spark), replay.delay, "c", "u")
         counts = windowed_counts(clicks, COUNT_KEYS[subject], unit)
         root = scratch_dir(spark, f"stream-{table}")
-        append_live(counts, f"{root}/live", f"{root}/state").awaitTermination()
+        with _small_state(spark, replay):
+            stream = append_live(counts, f"{root}/live", f"{root}/state")
+        stream.awaitTermination()
         return read_live(spark, f"{root}/live", table)
     return query
 
@@ -272,7 +279,9 @@ def _stream_counts(subject: str, unit: str) -> Query:
 def stream_ids(spark: SparkSession, tables: str) -> DataFrame:
     replay, root = _replay(spark, tables), scratch_dir(spark, "stream-ids")
     ids = click_ids(once_per_id(timed_clicks(replay.feed(spark), replay.delay, "_id")))
-    append_files(ids, f"{root}/click_ids", f"{root}/state").awaitTermination()
+    with _small_state(spark, replay):
+        stream = append_files(ids, f"{root}/click_ids", f"{root}/state")
+    stream.awaitTermination()
     return read_table(spark, root, "click_ids")
 
 

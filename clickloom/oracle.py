@@ -181,6 +181,50 @@ def _table_sizes() -> str:
     return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
 
 
+def _payload(name: str, description: str, results: str, extra: str = "''") -> str:
+    head = f'{{"name_query":"{name}","description":"{description}"'
+    return f"concat('{head}', {extra}, ',\"results\":[', {results}, ']}}') AS payload"
+
+
+def _payloads() -> dict[str, str]:
+    def item(**values: str) -> str:
+        pairs = ", ',".join(f"\"{key}\":', {value}" for key, value in values.items())
+        return "concat('{" + pairs + ", '}')"
+
+    def text(value: str) -> str:
+        return f"concat('\"', {value}, '\"')"
+
+    newest = "date = (SELECT max(date) FROM counts)"
+    raw_newest = "(SELECT max(date) FROM raw WHERE date <> 'N/A')"
+    day = f"strftime(CAST({raw_newest} AS DATE), '%a, %-d %b %Y')"
+    clicks = f"(SELECT count(DISTINCT event) FROM raw WHERE date = {raw_newest})"
+    country = item(country=text(_country("country_code")), contador=text("clicks"))
+    minute = item(date=text("concat(date, ' ', time)"), dominio=text("domain"), contador="clicks")
+    domain = item(dominio=text("domain"), contador=text("clicks"))
+    day_total = ("(SELECT {key}, CAST(sum(clicks) AS BIGINT) AS clicks FROM counts "
+                 f"WHERE {newest} GROUP BY ALL)")
+    first = "row_number() OVER (ORDER BY clicks DESC, domain) = 1"
+    return {
+        "envelope_daily_counter": _sql(
+            "SELECT " + _payload("globalcounter", "Contador de accesos diarios",
+                                 item(contador=text(clicks)), f"concat(',\"date\":\"', {day}, '\"')"),
+            _raw()),
+        "envelope_top_country": _sql(
+            "SELECT " + _payload("topcountry", "Top urls acortadas por pais",
+                                 f"string_agg({country}, ',' ORDER BY clicks DESC, country_code)")
+            + f" FROM {day_total.format(key='country_code')} s", _counts(["country_code"], _MINUTE)),
+        "envelope_evolution": _sql(
+            "SELECT " + _payload("EvolutionByDomain", "Evolución diaria de un dominio",
+                                 f"string_agg({minute}, ',' ORDER BY date, time)")
+            + f" FROM counts WHERE {newest} AND domain = {_BUSIEST}", _counts(["domain"], _MINUTE)),
+        "envelope_top_domain": _sql(
+            "SELECT '{\"name_query\":\"topurl\",\"description\":\"Top 20 URL''s usa.gov acortadas\","
+            f"\"results\":[' AS line UNION ALL SELECT concat(CASE WHEN {first} THEN '' ELSE ',' END, {domain}) "
+            f"FROM {day_total.format(key='domain')} s UNION ALL SELECT ']}}'",
+            _counts(["domain"], _SECOND)),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     daily = "SELECT date, count(DISTINCT event) AS clicks FROM raw GROUP BY date"
     newest = "(SELECT max(date) FROM counts)"
@@ -281,6 +325,7 @@ def oracle_sql() -> dict[str, str]:
            for subject, keys in _KEYS.items() for unit in ("seconds", "minutes")},
         "stream_raw_by_day": _sql(daily, _raw()),
     }
+    sql.update(_payloads())
     sql["export_files"] = sql["export_clicks"]
     sql["stream_dedup_clicks"] = sql["click_ids"]
     sql["stream_enrich_docs"] = sql["enrich_docs"]

@@ -14,6 +14,7 @@ class Replay(NamedTuple):
     """Delivered files, how many make a batch, and the watermark delay that loses no line."""
 
     path: str
+    files: int
     files_per_batch: int
     delay: str
 
@@ -25,22 +26,20 @@ def deliver(lines: DataFrame, slices: int = 5) -> Replay:
     """Write lines as text files, one slice of the covered time after the other.
 
     Files inside a slice are in no order, so the delay covers one slice: no line can then
-    be older than the watermark when it is read.
+    be older than the watermark when it is read. Lines without a time come first.
     """
     spark = lines.sparkSession
-    stored = scratch_dir(spark, "replay-slices")
+    stored, landing = scratch_dir(spark, "replay-lines"), scratch_dir(spark, "replay")
     epoch = F.get_json_object("event", "$.t").try_cast("bigint")
-    timed = lines.withColumn("epoch", epoch)
-    timed.write.parquet(f"{stored}/lines")
-    timed = spark.read.parquet(f"{stored}/lines")
+    lines.withColumn("epoch", epoch).write.parquet(stored)
+    timed = spark.read.schema("event string, epoch bigint").parquet(stored)
     first, last = timed.agg(F.min("epoch"), F.max("epoch")).first()
-    width = ((last or 0) - (first or 0)) // slices + 1
-    number = F.coalesce(F.floor((F.col("epoch") - (first or 0)) / width), F.lit(0))
-    (timed.select("event", number.cast("int").alias("slice")).hint("rebalance", "slice")
-     .write.partitionBy("slice").parquet(f"{stored}/slices"))
-    sliced = spark.read.schema("event string, slice int").parquet(f"{stored}/slices")
-    landing = scratch_dir(spark, "replay")
+    first, last = first or 0, last or 0
+    width = (last - first) // slices + 1
     for k in range(slices):
-        sliced.where(F.col("slice") == k).select("event").write.mode("append").text(landing)
+        start = first + k * width
+        inside = (F.col("epoch") >= start) & (F.col("epoch") < start + width)
+        chosen = timed.where(inside | F.col("epoch").isNull() if k == 0 else inside)
+        chosen.select("event").write.mode("append").text(landing)
     files = len(spark.read.text(landing).inputFiles())
-    return Replay(landing, -(-files // slices), f"{width} seconds")
+    return Replay(landing, files, -(-files // slices), f"{width} seconds")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -15,6 +16,22 @@ def _writer(df: DataFrame, checkpoint: str, every: str | None) -> DataStreamWrit
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Queries first started inside keep their state in at most ``number`` partitions.
+
+    The number stays with a query's checkpoint, so choose it for the keys that will be
+    open at once. The session's shuffle partitions remain the upper bound.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(max(1, min(int(before), number))))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_files(df: DataFrame, path: str, checkpoint: str, every: str | None = None,
                  fmt: str = "parquet") -> StreamingQuery:
     """Final rows, each exactly once, in a folder per day."""
