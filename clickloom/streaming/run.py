@@ -56,10 +56,15 @@ def append_live(counts: DataFrame, path: str, checkpoint: str,
 
 
 def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
-    """Let queries run for a bounded time, then stop those still active after their batch."""
+    """Let queries run for a bounded time, then stop them between two batches.
+
+    Should a batch be cut short, the next start from the checkpoint repeats it.
+    """
     queries = list(queries)
     end = time.monotonic() + seconds
     for query in queries:
-        query.awaitTermination(max(0, int(end - time.monotonic())))
+        query.awaitTermination(max(0.001, end - time.monotonic()))
     for query in queries:
+        while query.isActive and query.status["isTriggerActive"]:
+            time.sleep(0.05)
         query.stop()
