@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+_THIRD = "substring_index(substring_index(url, '/', 3), '/', -1)"
 _DAY = "CAST(date_from_unix_date(try_cast(floor({t} / 86400) AS INT)) AS STRING)"
 _CLOCK = ("concat(lpad(floor(pmod({t}, 86400) / 3600), 2, '0'), ':', "
           "lpad(floor(pmod({t}, 3600) / 60), 2, '0'), ':', lpad(pmod({t}, 60), 2, '0'))")
@@ -24,7 +25,7 @@ def _definitions() -> dict[str, str]:
     now = "unix_seconds(current_timestamp())"
     return {
         "getDomain(url STRING)":
-            "CASE WHEN split_part(url, '/', 3) <> '' THEN split_part(url, '/', 3) "
+            f"CASE WHEN substring_index(url, '/', 2) <> url AND {_THIRD} <> '' THEN {_THIRD} "
             "WHEN url = '' THEN 'N/A' END",
         "getTimeFromEpoch(t BIGINT, unit STRING)": epoch,
         "getTimeFromEpoch2(t STRING, unit STRING)":

@@ -46,8 +46,8 @@ def to_documents(df: DataFrame, column: str = "document") -> DataFrame:
 
 def raw_by_day(lines: DataFrame) -> DataFrame:
     """Every line with its day; ``N/A`` for a line without a readable epoch."""
-    epoch = F.get_json_object("event", "$.t")
-    return lines.select(epoch_text_unit(epoch, "day").alias("date"), "event")
+    timed = lines.select("event", F.get_json_object("event", "$.t").alias("epoch"))
+    return timed.select(epoch_text_unit("epoch", "day").alias("date"), "event")
 
 
 def export_lines(raw_clicks: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators.filters import keep_click_lines
 from clickloom.operators.reshape import strip_spaces
-from clickloom.schema import CLICK, CORRUPT, click_fields
+from clickloom.schema import CLICK, click_fields
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -33,11 +33,10 @@ def parse_clicks(lines: DataFrame, *fields: str) -> DataFrame:
     although it is the default, because only then does one row get parsed once and not
     once per field.
     """
-    schema = click_fields(*fields, CORRUPT) if fields else CLICK
+    schema = click_fields(*fields) if fields else CLICK
     event = F.from_json("event", schema, {"mode": "PERMISSIVE"}).alias("click")
     others = [name for name in lines.columns if name != "event"]
-    rows = lines.select(*others, event).select(*others, "click.*")
-    return rows.drop(CORRUPT) if fields and CORRUPT not in fields else rows
+    return lines.select(*others, event).select(*others, "click.*")
 
 
 def read_events(spark: SparkSession, path: str, *fields: str, clean: bool = False) -> DataFrame:
