@@ -24,7 +24,7 @@ from clickloom.sources.derived import derived_clicks, derived_lines
 from clickloom.sources.lines import click_lines, parse_clicks, register_events
 from clickloom.sources.serving import first_clicks, latest_day, read_table
 from clickloom.streaming.counts import read_live, windowed_counts
-from clickloom.streaming.dedup import once_per_id
+from clickloom.streaming.dedup import ids_once
 from clickloom.streaming.feed import timed_clicks
 from clickloom.streaming.pipeline import start_documents
 from clickloom.streaming.replay import Replay, deliver
@@ -192,7 +192,7 @@ def counter_payload(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def country_payload(spark: SparkSession, tables: str) -> DataFrame:
-    return payloads.country_payload(_latest(
+    return payloads.country_payload_lines(_latest(
         lambda served, day: reads.top_countries(served, day, None), "country", "minute")(spark, tables))
 
 
@@ -278,7 +278,7 @@ def _stream_counts(subject: str, unit: str) -> Query:
 
 def stream_ids(spark: SparkSession, tables: str) -> DataFrame:
     replay, root = _replay(spark, tables), scratch_dir(spark, "stream-ids")
-    ids = click_ids(once_per_id(timed_clicks(replay.feed(spark), replay.delay, "_id")))
+    ids = ids_once(timed_clicks(replay.feed(spark), replay.delay, "_id"))
     with _small_state(spark, replay):
         stream = append_files(ids, f"{root}/click_ids", f"{root}/state")
     stream.awaitTermination()

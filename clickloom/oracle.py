@@ -186,6 +186,15 @@ def _payload(name: str, description: str, results: str, extra: str = "''") -> st
     return f"concat('{head}', {extra}, ',\"results\":[', {results}, ']}}') AS payload"
 
 
+def _payload_lines(name: str, description: str, key: str, item: str, fmt: str) -> str:
+    first = f"row_number() OVER (ORDER BY clicks DESC, {key}) = 1"
+    return _sql(
+        f"SELECT '{{\"name_query\":\"{name}\",\"description\":\"{description}\",\"results\":[' AS line "
+        f"UNION ALL SELECT concat(CASE WHEN {first} THEN '' ELSE ',' END, {item}) FROM (SELECT {key}, "
+        "CAST(sum(clicks) AS BIGINT) AS clicks FROM counts WHERE date = (SELECT max(date) FROM counts) "
+        "GROUP BY ALL) s UNION ALL SELECT ']}'", _counts([key], fmt))
+
+
 def _payloads() -> dict[str, str]:
     def item(**values: str) -> str:
         pairs = ", ',".join(f"\"{key}\":', {value}" for key, value in values.items())
@@ -201,27 +210,19 @@ def _payloads() -> dict[str, str]:
     country = item(country=text(_country("country_code")), contador=text("clicks"))
     minute = item(date=text("concat(date, ' ', time)"), dominio=text("domain"), contador="clicks")
     domain = item(dominio=text("domain"), contador=text("clicks"))
-    day_total = ("(SELECT {key}, CAST(sum(clicks) AS BIGINT) AS clicks FROM counts "
-                 f"WHERE {newest} GROUP BY ALL)")
-    first = "row_number() OVER (ORDER BY clicks DESC, domain) = 1"
     return {
         "envelope_daily_counter": _sql(
             "SELECT " + _payload("globalcounter", "Contador de accesos diarios",
                                  item(contador=text(clicks)), f"concat(',\"date\":\"', {day}, '\"')"),
             _raw()),
-        "envelope_top_country": _sql(
-            "SELECT " + _payload("topcountry", "Top urls acortadas por pais",
-                                 f"string_agg({country}, ',' ORDER BY clicks DESC, country_code)")
-            + f" FROM {day_total.format(key='country_code')} s", _counts(["country_code"], _MINUTE)),
         "envelope_evolution": _sql(
             "SELECT " + _payload("EvolutionByDomain", "Evolución diaria de un dominio",
                                  f"string_agg({minute}, ',' ORDER BY date, time)")
             + f" FROM counts WHERE {newest} AND domain = {_BUSIEST}", _counts(["domain"], _MINUTE)),
-        "envelope_top_domain": _sql(
-            "SELECT '{\"name_query\":\"topurl\",\"description\":\"Top 20 URL''s usa.gov acortadas\","
-            f"\"results\":[' AS line UNION ALL SELECT concat(CASE WHEN {first} THEN '' ELSE ',' END, {domain}) "
-            f"FROM {day_total.format(key='domain')} s UNION ALL SELECT ']}}'",
-            _counts(["domain"], _SECOND)),
+        "envelope_top_country": _payload_lines("topcountry", "Top urls acortadas por pais",
+                                               "country_code", country, _MINUTE),
+        "envelope_top_domain": _payload_lines("topurl", "Top 20 URL''s usa.gov acortadas",
+                                              "domain", domain, _SECOND),
     }
 
 

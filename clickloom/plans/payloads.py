@@ -37,7 +37,7 @@ def counter_payload(counter: DataFrame, day: str | Column) -> DataFrame:
 
 
 def country_payload(countries: DataFrame) -> DataFrame:
-    """Clicks per country: one row for each code there is, a few hundred at most."""
+    """Clicks per country, for a list that was cut to its first countries."""
     order = F.struct((-F.col("clicks")).alias("n"), "country_code").alias("rank")
     rows = countries.select(order, "country", F.col("clicks").cast("string").alias("contador"))
     return _payload(TOP_COUNTRY, rows)
@@ -51,22 +51,31 @@ def evolution_payload(series: DataFrame) -> DataFrame:
     return _payload(EVOLUTION, rows)
 
 
-def domain_payload_lines(domains: DataFrame) -> DataFrame:
-    """The domain list as the payload's text lines, in order.
+def _payload_lines(title: tuple[str, str], counts: DataFrame, key: str, item: Column) -> DataFrame:
+    """A payload as its text lines, in order of the counts.
 
-    A day can have any number of domains, so the list is not gathered into one value: the
-    lines are sorted across tasks, and files written from them concatenate to the payload.
+    The list can have any length, so it is not gathered into one value: the lines are sorted
+    across tasks, and the files written from them concatenate to the payload.
     """
-    first = domains.orderBy(F.desc("clicks"), "domain").limit(1).select("domain").scalar()
-    item = F.to_json(F.struct(F.col("domain").alias("dominio"),
-                              F.col("clicks").cast("string").alias("contador")))
-    comma = F.when(F.col("domain") == first, "").otherwise(",")
-    body = domains.select(F.lit(1).alias("part"), (-F.col("clicks")).alias("n"),
-                          F.col("domain").alias("key"), F.concat(comma, item).alias("line"))
-    head = F.rtrim(F.to_json(F.struct(*_head(TOP_DOMAIN))), F.lit("}"))
-    ends = domains.sparkSession.range(2).select(
+    first = counts.orderBy(F.desc("clicks"), key).limit(1).select(key).scalar()
+    comma = F.when(F.col(key) == first, "").otherwise(",")
+    body = counts.select(F.lit(1).alias("part"), (-F.col("clicks")).alias("n"),
+                         F.col(key).alias("key"), F.concat(comma, F.to_json(item)).alias("line"))
+    head = F.rtrim(F.to_json(F.struct(*_head(title))), F.lit("}"))
+    ends = counts.sparkSession.range(2).select(
         (F.col("id") * 2).cast("int").alias("part"), F.lit(0).cast("bigint").alias("n"),
         F.lit("").alias("key"),
         F.when(F.col("id") == 0, F.concat(head, F.lit(',"results":['))).otherwise("]}").alias("line"))
     return body.unionByName(ends).orderBy("part", "n", "key").select("line")
 
+
+def country_payload_lines(countries: DataFrame) -> DataFrame:
+    """All countries; the codes come from the clicks, so there may be more than are known."""
+    item = F.struct("country", F.col("clicks").cast("string").alias("contador"))
+    return _payload_lines(TOP_COUNTRY, countries, "country_code", item)
+
+
+def domain_payload_lines(domains: DataFrame) -> DataFrame:
+    """All domains."""
+    item = F.struct(F.col("domain").alias("dominio"), F.col("clicks").cast("string").alias("contador"))
+    return _payload_lines(TOP_DOMAIN, domains, "domain", item)

@@ -7,12 +7,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.counts import KEY_FIELDS
 from clickloom.operators.filters import drop_empty_lines
-from clickloom.operators.reshape import click_ids, enrich_documents, raw_by_day
+from clickloom.operators.reshape import enrich_documents, raw_by_day
 from clickloom.schema import COUNT_KEYS, count_table
 from clickloom.sinks.documents import with_day
 from clickloom.sources.lines import click_lines, parse_clicks
 from clickloom.streaming.counts import windowed_counts
-from clickloom.streaming.dedup import once_per_id
+from clickloom.streaming.dedup import ids_once
 from clickloom.streaming.feed import timed_clicks
 from clickloom.streaming.run import append_files, append_live
 
@@ -39,7 +39,7 @@ def start_counts(lines: DataFrame, root: str, checkpoints: str, delay: str = "10
             queries[table] = append_live(counts, f"{root}/{table}", f"{checkpoints}/{table}", every)
     raw = raw_by_day(lines)
     queries["raw_clicks"] = append_files(raw, f"{root}/raw_clicks", f"{checkpoints}/raw_clicks", every)
-    ids = click_ids(once_per_id(timed_clicks(lines, delay, "_id")))
+    ids = ids_once(timed_clicks(lines, delay, "_id"))
     queries["click_ids"] = append_files(ids, f"{root}/click_ids", f"{checkpoints}/click_ids", every)
     return queries
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -53,6 +54,7 @@ if __name__ == "__main__":
     spark = build_session("oracle-check", "local[8]", spark__sql__shuffle__partitions="8",
                           spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("CHECK_ZONE", "UTC"))
     con, sql = connect(tables), oracle_sql()
     for name, query in queries().items():
         if wanted and name not in wanted:

@@ -92,6 +92,12 @@ def test_payloads(lines, countries, domains):
     assert evolution["results"] == [{"date": f"{DAY} 10:00", "dominio": "b.gov", "contador": 14}]
 
 
+def test_whole_country_payload(countries):
+    text = payloads.country_payload_lines(reads.top_countries(countries, DAY, None))
+    whole = json.loads("".join(row.line for row in text.collect()))
+    assert whole == load(payloads.country_payload(reads.top_countries(countries, DAY)))
+
+
 def test_payload_of_nothing(countries):
     assert load(payloads.country_payload(reads.top_countries(countries, "2000-01-01")))["results"] == []
 

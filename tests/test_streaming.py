@@ -12,7 +12,7 @@ from clickloom.schema import COUNT_KEYS, count_table
 from clickloom.sources.lines import click_lines, parse_clicks
 from clickloom.sources.serving import read_table
 from clickloom.streaming import (
-    append_files, append_live, compact_live, line_feed, once_per_id, read_counts, read_live, run_for,
+    append_files, append_live, compact_live, line_feed, ids_once, read_counts, read_live, run_for,
     start_counts, start_documents, timed_clicks, windowed_counts,
 )
 from clickloom.streaming.replay import deliver
@@ -156,11 +156,11 @@ def test_each_id_once_even_if_hot(spark, landing, folder):
     for batch in range(3):
         landing.add(*[click(_id="hot", t=START + batch) for _ in range(200)],
                     *[click(_id=f"{batch}-{i}", t=START + batch) for i in range(20)])
-    ids = once_per_id(timed_clicks(feed(spark, landing), "10 minutes", "_id"))
-    rows = ids.select(F.lit("d").alias("date"), F.col("_id").alias("id"))
-    append_files(rows, f"{out}/click_ids", f"{out}/state").awaitTermination()
-    found = Counter(r.id for r in read_table(spark, out, "click_ids").collect())
-    assert set(found.values()) == {1} and len(found) == 61
+    landing.add(click(_id="hot", t=START + 86400))  # another day is another row
+    ids = ids_once(timed_clicks(feed(spark, landing), "10 minutes", "_id"))
+    append_files(ids, f"{out}/click_ids", f"{out}/state").awaitTermination()
+    found = Counter((r.date, r.id) for r in read_table(spark, out, "click_ids").collect())
+    assert set(found.values()) == {1} and len(found) == 62
 
 
 def test_document_stream_equals_batch(spark, landing, lines, folder):
