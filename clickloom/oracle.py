@@ -22,7 +22,8 @@ def _inputs() -> str:
     note, broken = ((when, _duck(text)) for when, text in (NOTE_RULE, BROKEN_RULE))
     return f"""
 clicks AS (SELECT event_id, {columns}
-  FROM events JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)),
+  FROM (SELECT *, event_id % (SELECT count(*) FROM pages) AS page_id FROM events)
+  JOIN pages USING (page_id)),
 lines AS (
   SELECT {_duck(LINE_RULE)} AS event FROM clicks
   UNION ALL SELECT {_duck(LINE_RULE)} FROM clicks WHERE {AGAIN_RULE}
