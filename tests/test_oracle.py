@@ -1,6 +1,5 @@
 """Every query against its SQL on the smallest tables."""
 
-import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries

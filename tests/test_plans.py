@@ -1,7 +1,5 @@
 """Shapes of the physical plans, and results under skew."""
 
-from collections import Counter
-
 import pytest
 from pyspark.sql import functions as F
 
