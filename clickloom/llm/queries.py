@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clickloom.llm import exact, quality
+from clickloom.llm import bpe, exact, quality
 
 QUERIES = {
+    "op4_bpe": bpe.op4_bpe,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
