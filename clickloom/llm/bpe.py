@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.text import chunks, strings
 
 #: Distinct words, with what is written onto them, whose encodings a worker keeps.
-MEMORY = 400_000
+MEMORY = 1_000_000
 
 _NONE = np.iinfo(np.int64).max
 

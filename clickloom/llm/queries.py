@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, exact, quality
+from clickloom.llm import bpe, exact, prefix, quality
 
 QUERIES = {
     "op4_bpe": bpe.op4_bpe,
+    "op9_token_counts": prefix.op9_token_counts,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
