@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, exact, prefix, quality
+from clickloom.llm import bpe, chat, exact, prefix, quality, warc
 
 QUERIES = {
+    "op2_chat": chat.op2_chat,
+    "op3_warc": warc.op3_warc,
     "op4_bpe": bpe.op4_bpe,
     "op9_token_counts": prefix.op9_token_counts,
     "op7_exact_dedup": exact.op7_exact_dedup,
@@ -12,5 +14,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_chat": chat.OP2_SQL,
+    "op3_warc": warc.OP3_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
 }
