@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, chat, exact, prefix, quality, warc
+from clickloom.llm import bpe, chat, exact, neardup, prefix, quality, warc
 
 QUERIES = {
+    "op1_near_dedup": neardup.op1_near_dedup,
     "op2_chat": chat.op2_chat,
     "op3_warc": warc.op3_warc,
     "op4_bpe": bpe.op4_bpe,
