@@ -61,21 +61,23 @@ def nodes_of(messages: DataFrame) -> DataFrame:
 
 def branch_scores(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Per message its depth and branch score, and the jump tables (1, 2, 4, ... steps up)."""
-    state = _stored(nodes.select("conv_id", "node_id", F.col("parent_id").alias("up"), F.col("score").alias("total"),
-                                 F.lit(1).cast("bigint").alias("depth")), "branches")
-    jumps = [state.select("conv_id", "node_id", "up")]
-    bound = state.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    while state.filter("up IS NOT NULL").limit(1).count():
-        above = state.select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
+    active = _stored(nodes.select("conv_id", "node_id", F.col("parent_id").alias("up"), F.col("score").alias("total"),
+                                  F.lit(1).cast("bigint").alias("depth")), "branches")
+    bound = active.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    ended = active.filter("up IS NULL")
+    active, jumps = active.filter("up IS NOT NULL"), []
+    # only messages whose jump has not reached the root yet take part; what still jumps
+    # beyond the largest conversation's size is part of a ring
+    while 2 ** len(jumps) <= 2 * bound and active.limit(1).count():
+        jumps.append(active.select("conv_id", "node_id", "up"))
+        above = ended.unionByName(active).select(*[F.col(c).alias(f"a_{c}") for c in active.columns])
         step = (F.col("conv_id") == F.col("a_conv_id")) & (F.col("up") == F.col("a_node_id"))
-        state = _stored(state.join(above, step, "left").select(
-            "conv_id", "node_id", F.col("a_up").alias("up"),
-            (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("a_depth", F.lit(0))).alias("depth")), "branches")
-        jumps.append(state.select("conv_id", "node_id", "up"))
-        if 2 ** (len(jumps) - 1) > bound:  # what still has something above it is part of a ring
-            break
-    return state.filter("up IS NULL").drop("up"), jumps
+        grown = _stored(active.join(above, step).select(
+            "conv_id", "node_id", F.col("a_up").alias("up"), (F.col("total") + F.col("a_total")).alias("total"),
+            (F.col("depth") + F.col("a_depth")).alias("depth")), "branches")
+        ended = ended.unionByName(grown.filter("up IS NULL"))
+        active = grown.filter("up IS NOT NULL")
+    return ended.drop("up"), jumps
 
 
 def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
@@ -88,7 +90,7 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     chosen = leaves.withColumn("path_rank", F.row_number().over(order)).filter(F.col("path_rank") <= branches)
     marked = chosen.select("conv_id", "path_rank", "node_id")
     for jump in reversed(jumps):
-        step = marked.join(jump.filter("up IS NOT NULL"), ["conv_id", "node_id"]).select(
+        step = marked.join(jump, ["conv_id", "node_id"]).select(
             "conv_id", "path_rank", F.col("up").alias("node_id"))
         marked = _stored(marked.unionByName(step).distinct(), "paths")
     return (marked.join(scored.select("conv_id", "node_id", "depth", "total"), ["conv_id", "node_id"])
