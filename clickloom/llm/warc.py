@@ -1,4 +1,4 @@
-"""WARC archives: written by Spark, read back along verified record boundaries.
+"""WARC archives: written by Spark, gzipped, read back along verified record boundaries.
 
 A page's record is ASCII headers and UTF-8 text, so Spark's text writer makes the archives: one line per
 record, with the two line ends that close a record as line separator. Pages with equal payloads
@@ -19,6 +19,7 @@ table gives archives without records and an empty result.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -30,12 +31,12 @@ from pyspark.sql import functions as F
 from clickloom.session import scratch_dir
 
 #: Fixed values of the format.
-MAGIC, END = "WARC/1.1\r\n", "\r\n\r\n"
+MAGIC, END, GZIP = "WARC/1.1\r\n", "\r\n\r\n", b"\x1f\x8b"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-#: Records in an archive at most: a task holds one whole file.
+#: Records in an archive at most: a task holds one whole file, unpacked. Offsets are those in the unpacked file.
 RECORDS_PER_FILE = 1000
 
 _CANDIDATE = ("file bigint, at bigint, next bigint, page_id bigint, record_type string, payload_bytes bigint, "
@@ -80,7 +81,7 @@ def records(pages: DataFrame, revisit_from_bytes: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, revisit_from_bytes: int = 0,
                    records_per_file: int = RECORDS_PER_FILE) -> None:
-    (records(pages, revisit_from_bytes).write.option("lineSep", END)
+    (records(pages, revisit_from_bytes).write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
@@ -129,7 +130,9 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 file = batch["file"][i].as_py()
-                rows = [{"file": file, **row} for row in candidates_in(batch["content"][i].as_py())]
+                data = batch["content"][i].as_py()
+                data = gzip.decompress(data) if data[:2] == GZIP else data
+                rows = [{"file": file, **row} for row in candidates_in(data)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row[n] for row in rows], t) for n, t in zip(names, kinds)], names)
 
