@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, chat, exact, neardup, prefix, quality, warc
+from clickloom.llm import bpe, chat, exact, neardup, prefix, quality, substring, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_bpe": bpe.op4_bpe,
     "op9_token_counts": prefix.op9_token_counts,
+    "op5_substring_dedup": substring.op5_substring_dedup,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
