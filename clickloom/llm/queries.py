@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, chat, exact, neardup, prefix, quality, substring, warc
+from clickloom.llm import bpe, chat, exact, mixing, neardup, prefix, quality, substring, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op9_token_counts": prefix.op9_token_counts,
     "op5_substring_dedup": substring.op5_substring_dedup,
+    "op6_mixing": mixing.op6_mixing,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
