@@ -10,10 +10,11 @@
    copies this is the text the others come from. Links are confirmed on full sets, and components
    of confirmed links are found by contraction.
 4. A star may miss a link between two members that are both too far from its centre. So what is
-   left goes round again: a bucket is settled when all its members are in one component. In
-   a bucket that is not, the former centre is taken out (it has been compared with all others)
-   and the next star begins; in small ones the remaining stars follow at once. Rounds go on until every bucket is
-   settled; nothing is capped. No link between documents that share a bucket is lost.
+   left goes round again: a bucket is settled when all its members are in one component. For the
+   others each set's support is found, the shingles that any other set has too. A set cannot
+   share more than its support, so most edited copies that are too far from the rest are ruled out without
+   being compared. What remains gets eight stars, then 64 and so on, each centre leaving its bucket, until every
+   bucket is settled; nothing is capped. No link between documents that share a bucket is lost.
 
 Two documents at the threshold share no bucket with probability (1 - 0.75**4)**32, 5 in a million.
 
@@ -31,17 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm.packed import Layout, among, answered, pack, sharded, with_answers
 from clickloom.llm.text import chunks, find_words, gram_hashes, gram_places, mix, strings
 from clickloom.session import scratch_dir
 
 SHINGLE = 5
 BINS, ROWS = 128, 4
 THRESHOLD_PERCENT = 75
-#: A bucket of at most this size gets all its remaining stars in one round.
-SMALL = 8
 #: Rows that one centre's share of a comparing task may have before it is split.
 SPLIT = 256
 
@@ -134,12 +134,12 @@ class _Store:
 
 
 def members_of(classes: DataFrame, store: _Store) -> DataFrame:
-    """(bucket, id, n, shared): members of buckets of two or more; shared counts a class's company."""
+    """(bucket, id, shared): members of buckets of two or more; shared counts a class's company."""
     members = classes.select("id", F.explode("buckets").alias("bucket"))
     full = store(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     members = store(members.join(full, "bucket"))
     shared = members.groupBy("id").agg(F.sum("n").alias("shared"))
-    return store(members.join(shared, "id").select("bucket", "id", "n", "shared"))
+    return store(members.join(shared, "id").select("bucket", "id", "shared"))
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -150,18 +150,44 @@ def stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
 
 
-def later_stars(members: DataFrame) -> DataFrame:
-    """The same for buckets that are not settled: one star in large ones, all that remain in small ones."""
-    large = members.filter(F.col("n") > SMALL)
-    centre = large.groupBy("bucket").agg(F.max(F.struct("shared", (-F.col("id")).alias("id"), "component")).alias("c"))
-    near = large.join(centre, "bucket").filter(F.col("component") != F.col("c.component"))
-    pairs = near.select("id", (-F.col("c.id")).alias("centre"))
-    small = members.filter(F.col("n") <= SMALL).select("bucket", "id", "component")
-    other = small.select("bucket", F.col("id").alias("centre"), F.col("component").alias("c_component"))
-    few = (small.join(other, "bucket").filter((F.col("id") > F.col("centre")) & (F.col("component") != F.col("c_component")))
-           .select("id", "centre"))
-    pairs = pairs.unionByName(few)
-    return pairs.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
+def later_stars(open_: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
+    """Edges of the next ``centres`` stars of every open bucket, and what is open without these centres."""
+    # the ranking is cut to as many rows per bucket in each task before it is shuffled
+    order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
+    chosen = open_.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
+    chosen = chosen.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("id", "component", "size", "support")])
+    pairs = open_.join(chosen, "bucket").filter(
+        (F.col("id") != F.col("c_id")) & (F.col("component") != F.col("c_component"))
+        & (7 * F.least("support", "c_support") >= 3 * (F.col("size") + F.col("c_size"))))
+    edges = pairs.select(F.greatest("id", "c_id").alias("id"), F.least("id", "c_id").alias("centre")).distinct()
+    rest = open_.join(chosen.select("bucket", F.col("c_id").alias("id")), ["bucket", "id"], "left_anti")
+    return edges, rest
+
+
+def supported(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, size, support): a set's size, and how many of its shingles any other of the texts has too.
+
+    What two sets have in common is at most the support of either.
+    """
+    docs = texts.join(ids, "id", "left_semi").withColumnRenamed("id", "doc_id")
+    layout = Layout.of(docs)
+    rows = sharded(docs, layout)
+
+    def keys_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        grams, bounds = shingle_sets(strings(column))
+        return grams, np.ones(len(grams), np.int64), bounds
+
+    def run(_shard: int, keys: np.ndarray, _, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        for table in tables:
+            grams, bounds = shingle_sets(strings(table["text"]))
+            held = np.append(0, np.cumsum(among(grams, keys)))[bounds]
+            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(np.diff(bounds)), pa.array(np.diff(held))],
+                                             ["id", "size", "support"])
+
+    known = answered(pack(rows, layout, keys_of), lambda counts: counts > 1)
+    found = with_answers(rows, known, layout, run, "id bigint, size bigint, support bigint")
+    # ids with several texts: what any pair of them could have
+    return found.groupBy("id").agg(F.min("size").alias("size"), F.max("support").alias("support"))
 
 
 def confirmed(edges: DataFrame, texts: DataFrame, store: _Store) -> DataFrame:
@@ -248,18 +274,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = members.select("id").distinct()
     texts = store(_rows(docs).withColumnRenamed("doc_id", "id").join(near, "id", "left_semi"))
     component = store(members.select("id", F.col("id").alias("component")).distinct())
-    tested, open_, edges, first = None, members, stars(members), True
+    tested, edges, rest, centres = None, stars(members), members, 1
     while True:
         edges = store(edges)
         if edges.limit(1).count():
             # earlier components take part as links of their own: each member to the smallest
             linked = confirmed(edges, texts, store).unionByName(component.select("id", F.col("component").alias("centre")))
             component = components(linked, component, store)
-        open_ = store(unsettled(open_ if first else open_.filter(F.col("n") > SMALL), component))
+        tested = edges if tested is None else tested.unionByName(edges)
+        open_ = store(unsettled(rest, component))
         if not open_.limit(1).count():
             break
-        tested = edges if tested is None else tested.unionByName(edges)
-        edges, first = later_stars(open_).join(tested, ["id", "centre"], "left_anti"), False
+        if centres == 1:
+            size = store(supported(texts, open_.select("id").distinct()))
+            open_ = open_.join(size, "id")
+        open_, centres = store(feasible(open_)), 8 * centres
+        edges, rest = later_stars(open_, centres)
+        edges = edges.join(tested, ["id", "centre"], "left_anti")
     own = sketch.join(ids, "digest", "left")
     own = own.join(component, "id", "left")
     smallest = F.coalesce("component", "id", "doc_id")
@@ -268,14 +299,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def unsettled(members: DataFrame, component: DataFrame) -> DataFrame:
-    """The members of buckets with two or more components, without the last star's centre."""
+    """The members of buckets that hold two or more components."""
     members = members.drop("component").join(component, "id")
-    about = members.groupBy("bucket").agg(
-        F.max(F.struct("shared", (-F.col("id")).alias("id"))).alias("c"), F.count("*").alias("size"),
-        F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = about.filter("low <> high AND size > 2").select("bucket", (-F.col("c.id")).alias("centre"), "size")
-    return (members.join(open_, "bucket").filter(F.col("id") != F.col("centre"))
-            .select("bucket", "id", (F.col("size") - 1).alias("n"), "shared", "component"))
+    about = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(about.filter("low <> high").select("bucket"), "bucket")
+
+
+def feasible(open_: DataFrame) -> DataFrame:
+    """Without members whose support is too small for a link with any other of the bucket."""
+    least = open_.groupBy("bucket").agg(F.min("size").alias("least"))
+    return open_.join(least, "bucket").filter("7 * support >= 3 * (size + least)").drop("least")
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

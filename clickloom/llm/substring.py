@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm.packed import PACKED, Layout, Packer, answered, pack, sharded, with_answers
+from clickloom.llm.packed import PACKED, Layout, Packer, among, answered, pack, sharded, with_answers
 from clickloom.llm.text import Words, find_words, gram_hashes, gram_places, strings
 from clickloom.session import scratch_dir
 
@@ -75,13 +75,6 @@ def twice(counts: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 2)
 
 
-def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted array."""
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
-
-
 def runs_of(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of true values."""
     edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
