@@ -118,14 +118,17 @@ def by_shard(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
         yield value, table.take(pa.array(rows))
 
 
-def pack(docs: DataFrame, layout: Layout, keys_of: Callable, kept=lambda counts: counts) -> DataFrame:
-    """Packed keys of sharded documents; ``keys_of(texts)`` gives (keys, counts, first key of each text)."""
+def pack(docs: DataFrame, layout: Layout, keys_of: Callable, kept=lambda counts: counts, whole: bool = False) -> DataFrame:
+    """Packed keys of sharded documents.
+
+    ``keys_of(texts)``, or of the ``whole`` rows, gives (keys, counts, first key of each text).
+    """
     buckets = layout.buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets, kept)
         for chunk in chunks(batches):
-            keys, counts, first = keys_of(chunk["text"])
+            keys, counts, first = keys_of(chunk if whole else chunk["text"])
             shard = np.repeat(chunk["shard"].to_numpy(), np.diff(first))
             order = np.argsort(shard, kind="stable")
             values, begin = np.unique(shard[order], return_index=True)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, chat, exact, mixing, neardup, prefix, quality, substring, warc
+from clickloom.llm import bpe, chat, exact, lm, mixing, neardup, prefix, quality, substring, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
     "op2_chat": chat.op2_chat,
     "op3_warc": warc.op3_warc,
     "op4_bpe": bpe.op4_bpe,
+    "op8_lm_scores": lm.op8_lm_scores,
     "op9_token_counts": prefix.op9_token_counts,
     "op5_substring_dedup": substring.op5_substring_dedup,
     "op6_mixing": mixing.op6_mixing,
