@@ -311,5 +311,11 @@ def feasible(open_: DataFrame) -> DataFrame:
     return open_.join(least, "bucket").filter("7 * support >= 3 * (size + least)").drop("least")
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each component, all columns as they came."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("component_id").alias("__kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__kept_id")), "left_semi")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
