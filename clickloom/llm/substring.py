@@ -154,8 +154,11 @@ def spans_to_remove(tables: list[pa.Table], recurring: np.ndarray) -> Iterator[t
 def mark_matches(automaton, passages: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> None:
     """Add 1 where a match of 35 words or more begins in a text and -1 after its end."""
     reached: dict[int, int] = {}  # by the distance of text and passage: how far a match has gone
+    low = high = 0                # the last stretch that is removed
     for end, places in automaton.iter(tuple(ids.tolist())):
         begin = end - SEED + 1
+        if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
+            continue  # every window that holds this seed is removed already
         for where in places:
             shift = where - begin
             if reached.get(shift, -1) > begin:
@@ -165,6 +168,9 @@ def mark_matches(automaton, passages: np.ndarray, ids: np.ndarray, marks: np.nda
             if b - a >= WINDOW:
                 marks[a] += 1
                 marks[b] -= 1
+                low, high = (min(a, low), max(b, high)) if a <= high and low <= b else (a, b)
+                if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
+                    break
 
 
 def extend(passages: np.ndarray, ids: np.ndarray, begin: int, where: int) -> tuple[int, int]:
