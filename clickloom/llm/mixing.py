@@ -6,9 +6,10 @@
 2. Every document gets the probability of each domain, so it belongs to all of them in part, and its tokens
    count towards each domain in that proportion.
 3. Rates are found by projected gradient descent on the squared distance between expected domain totals and
-   targets, over nonnegative rates. One step is a pass over the documents for the totals (one number
+   targets, over rates from 0 to ``MOST``. One step is a pass over the documents for the totals (one number
    per domain) and the same update in every row. The gradient is scaled by the inverse of the domains' Gram
-   matrix over rates that are not at zero, so few steps are needed, and starting at rate 1 keeps rates near 1.
+   matrix over rates that are not at a bound, damped, so few steps are needed, and starting at rate 1 keeps rates
+   near 1. A target that no rates can meet is missed, by as little as the steps allow, and no rate runs away.
    A rate after k steps follows from the k vectors before it, so no state is carried between steps.
 
 Targets are weights; the total is chosen so that the domain ``keep`` stays at its expected size, so
@@ -38,6 +39,9 @@ BUCKETS = 1 << 15
 EPOCHS, RATE, DECAY = 30, 0.5, 1e-4
 #: Steps of the projected gradient; it stops when the totals are this close.
 STEPS, CLOSE = 25, 1e-6
+#: No document is repeated more often than MOST. The Gram matrix is damped by this part of all tokens, so that a domain
+#: which hardly any document belongs to moves rates slowly, whether its target can be met or not.
+MOST, DAMPING = 3.0, 0.02
 
 DOMAINS = ("good", "low", "toxic")
 #: The mix that the query and the pipeline ask for.
@@ -138,12 +142,17 @@ def posteriors(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def rate_after(steps: list[np.ndarray]):
-    """The rate of a row after the steps so far: each moves along the posterior, then cuts at zero."""
-    rate = F.lit(1.0)
-    for z in steps:
-        move = sum((F.get("posterior", F.lit(d)) * float(x) for d, x in enumerate(z)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    """The rate of a row after the steps so far: each moves along the posterior, then cuts to [0, MOST]."""
+    if not steps:
+        return F.lit(1.0)
+    moves = F.array(*[F.array(*[F.lit(float(x)) for x in z]) for z in steps])
+    width = len(steps[0])
+
+    def step(rate, z):
+        move = sum((F.get("posterior", F.lit(d)) * F.get(z, F.lit(d)) for d in range(width)), F.lit(0.0))
+        return F.least(F.greatest(F.lit(0.0), rate - move), F.lit(MOST))
+
+    return F.aggregate(moves, F.lit(1.0), step)
 
 
 def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
@@ -154,8 +163,9 @@ def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     for _ in range(STEPS):
         rate = rate_after(steps)
         state = rows.select(tokens.alias("t"), rate.alias("r"), *[x.alias(f"p{d}") for d, x in enumerate(p)])
-        free = F.when(F.col("r") > 0, F.col("t")).otherwise(0.0)
+        free = F.when((F.col("r") > 0) & (F.col("r") < MOST), F.col("t")).otherwise(0.0)
         sums = state.agg(
+            F.sum("t").alias("all"),
             *[F.sum(F.col("r") * F.col("t") * F.col(f"p{d}")).alias(f"e{d}") for d in range(width)],
             *[F.sum(free * F.col(f"p{d}") * F.col(f"p{e}")).alias(f"g{d}_{e}") for d in range(width) for e in range(d, width)]).first()
         total = np.array([sums[f"e{d}"] or 0.0 for d in range(width)])
@@ -163,7 +173,7 @@ def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
         if np.abs(miss).max() <= CLOSE * max(targets.sum(), 1.0):
             break
         gram = np.array([[sums[f"g{min(d, e)}_{max(d, e)}"] or 0.0 for e in range(width)] for d in range(width)])
-        steps.append(np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(width)) @ miss)
+        steps.append(np.linalg.solve(gram + DAMPING * max(sums["all"] or 0.0, 1.0) * np.eye(width), miss))
     return steps
 
 
