@@ -13,7 +13,7 @@ from clickloom.functions import (
 from clickloom.operators import (
     click_ids, count_table_of, day_hour_counts, distinct_ids, distinct_lines, drop_coordinates,
     drop_empty_lines, enrich_documents, export_lines, full_events, hour_counts, hour_cube,
-    raw_by_day, rename_fields, roll_up, strip_spaces, to_documents, top, tz_hour_counts,
+    panel_rows, raw_by_day, rename_fields, roll_up, strip_spaces, to_documents, top, tz_hour_counts,
 )
 from clickloom.plans import dashboards, jobs, payloads, reads
 from clickloom.schema import CLICK, COUNT_KEYS, UNITS, count_table
@@ -26,7 +26,7 @@ from clickloom.sources.serving import first_clicks, latest_day, read_table
 from clickloom.streaming.counts import read_live, windowed_counts
 from clickloom.streaming.dedup import ids_once
 from clickloom.streaming.feed import timed_clicks
-from clickloom.streaming.pipeline import start_documents
+from clickloom.streaming.pipeline import close_days, start_documents
 from clickloom.streaming.replay import Replay, deliver
 from clickloom.streaming.run import append_files, append_live, state_partitions
 
@@ -49,7 +49,7 @@ def _clicks(*fields: str) -> Query:
 
 
 def _documents(spark: SparkSession, tables: str) -> DataFrame:
-    return enrich_documents(derived_clicks(spark, tables))
+    return panel_rows(derived_clicks(spark, tables))
 
 
 def _cube(spark: SparkSession, tables: str) -> DataFrame:
@@ -299,6 +299,25 @@ def stream_raw(spark: SparkSession, tables: str) -> DataFrame:
     return reads.daily_counters(read_table(spark, root, "raw_clicks"))
 
 
+_closed: dict[tuple[str, str], str] = {}
+
+
+def _closed_table(table: str) -> Query:
+    """A serving table after the stream has stored the raw lines and their days were closed."""
+    def query(spark: SparkSession, tables: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, tables)
+        if key not in _closed:
+            root = scratch_dir(spark, "closed")
+            raw = raw_by_day(_replay(spark, tables).feed(spark))
+            append_files(raw, f"{root}/live/raw_clicks", f"{root}/state").awaitTermination()
+            stored = spark.read.parquet(f"{root}/live/raw_clicks")
+            days = [row.date for row in stored.select("date").distinct().collect()]  # a folder each
+            close_days(spark, f"{root}/live", f"{root}/served", [str(day) for day in days])
+            _closed[key] = f"{root}/served"
+        return read_table(spark, _closed[key], table)
+    return query
+
+
 # ---- the list -----------------------------------------------------------------------------
 
 def catalog() -> dict[str, Query]:
@@ -375,6 +394,8 @@ def catalog() -> dict[str, Query]:
            for subject in COUNT_KEYS for unit in UNITS[:2]},
         "stream_dedup_clicks": stream_ids,
         "stream_enrich_docs": stream_documents,
+        **{f"closed_{table}": _closed_table(table)
+           for table in ("domain_minutes", "country_minutes", "raw_clicks", "click_ids")},
         "stream_raw_by_day": stream_raw,
     }
 

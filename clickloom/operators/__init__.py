@@ -8,7 +8,7 @@ from clickloom.operators.filters import (
     drop_empty_lines, exclude_value, keep_click_lines, with_values,
 )
 from clickloom.operators.reshape import (
-    click_ids, drop_coordinates, enrich_documents, export_lines, full_events, raw_by_day,
+    click_ids, drop_coordinates, enrich_documents, export_lines, full_events, panel_rows, raw_by_day,
     rename_fields, strip_spaces, to_documents,
 )
 from clickloom.operators.topk import rank_per_day, top
@@ -17,6 +17,6 @@ __all__ = [
     "click_ids", "count_by", "count_table_of", "day_hour_counts", "distinct_ids",
     "distinct_lines", "drop_coordinates", "drop_empty_lines", "enrich_documents",
     "exclude_value", "export_lines", "full_events", "hour_counts", "hour_cube",
-    "keep_click_lines", "lines_per_day", "rank_per_day", "raw_by_day", "rename_fields",
+    "keep_click_lines", "lines_per_day", "panel_rows", "rank_per_day", "raw_by_day", "rename_fields",
     "roll_up", "strip_spaces", "to_documents", "top", "tz_hour_counts", "with_values",
 ]

@@ -26,6 +26,11 @@ def rename_fields(events: DataFrame) -> DataFrame:
     return events.withColumnsRenamed(DOCUMENT_NAMES)
 
 
+def panel_rows(events: DataFrame) -> DataFrame:
+    """What the dashboard's panels read of documents: no country name, so no join."""
+    return rename_fields(events.withColumns({"domain": domain_of("u"), "location": inverted_location("ll")}))
+
+
 def enrich_documents(events: DataFrame, lang: str = "en") -> DataFrame:
     """Search documents: time, location, domain and country name, then all fields renamed."""
     docs = with_country(rename_fields(events), "country_code", lang)

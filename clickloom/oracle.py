@@ -329,6 +329,9 @@ def oracle_sql() -> dict[str, str]:
     }
     sql.update(_payloads())
     sql["export_files"] = sql["export_clicks"]
-    sql["stream_dedup_clicks"] = sql["click_ids"]
+    sql["stream_dedup_clicks"] = sql["closed_click_ids"] = sql["click_ids"]
+    sql["closed_domain_minutes"] = sql["stream_domain_minutes"]
+    sql["closed_country_minutes"] = sql["stream_country_minutes"]
+    sql["closed_raw_clicks"] = _sql("SELECT DISTINCT date, event FROM raw", _raw())
     sql["stream_enrich_docs"] = sql["enrich_docs"]
     return sql

@@ -90,11 +90,6 @@ def build_serving(lines: DataFrame, root: str) -> None:
     build_event_tables(lines, root)
 
 
-def run_documents(lines: DataFrame, out: str) -> None:
-    """Archive lines to enriched search documents."""
-    write_documents(enrich_documents(parse_clicks(click_lines(lines))), out)
-
-
 def table_sizes(spark: SparkSession, root: str) -> DataFrame:
     """Rows and clicks of each count table below ``root``."""
     parts = []

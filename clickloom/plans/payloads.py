@@ -36,13 +36,6 @@ def counter_payload(counter: DataFrame, day: str | Column) -> DataFrame:
     return _payload(GLOBAL_COUNTER, rows, day_label(day).alias("date"))
 
 
-def country_payload(countries: DataFrame) -> DataFrame:
-    """Clicks per country, for a list that was cut to its first countries."""
-    order = F.struct((-F.col("clicks")).alias("n"), "country_code").alias("rank")
-    rows = countries.select(order, "country", F.col("clicks").cast("string").alias("contador"))
-    return _payload(TOP_COUNTRY, rows)
-
-
 def evolution_payload(series: DataFrame) -> DataFrame:
     """One domain's minutes of one day: 1,440 rows at most."""
     minute = F.concat_ws(" ", "date", "time")

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: What the jobs assume. Shuffle partitions are a ceiling: AQE merges small ones.
+#: What the jobs assume.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,9 +21,17 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; ``conf`` keys use ``__`` for a dot."""
+def build_session(app: str = "clickloom", master: str | None = None,
+                  initial_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session with :data:`SETTINGS`; ``conf`` keys use ``__`` for a dot.
+
+    ``initial_partitions`` is the width of batch shuffles before AQE merges small partitions: about
+    the largest shuffle's bytes / 200 MB, at 100 TB hundreds of thousands. AQE can merge but not
+    split what an aggregate reads. Streams don't use it; their state has a number of its own.
+    """
     builder = SparkSession.builder.appName(app)
+    if initial_partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", initial_partitions)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
@@ -38,7 +46,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="clickloom-")
     return f"{base.rstrip('/')}/clickloom/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; one that isn't there is fine."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

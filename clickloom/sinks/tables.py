@@ -6,7 +6,7 @@ again, or runs twice, leaves the same table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom.operators.dedup import distinct_ids, distinct_lines
 from clickloom.schema import SERVING_TABLES
@@ -56,7 +56,8 @@ def write_full_events(events: DataFrame, path: str) -> None:
     Clicks without an id cannot be told apart and are all kept.
     """
     fields = [name for name in events.columns if name not in ("date", "id")]
-    known = events.where(F.col("id").isNotNull())
-    single = known.groupBy("date", "id").agg(F.max(F.struct(*fields)).alias("event"))
-    rows = single.select("date", "id", "event.*").unionByName(events.where(F.col("id").isNull()))
+    known = events.where(F.col("id").isNotNull()).distinct()  # merges equal rows in the map tasks
+    order = Window.partitionBy("date", "id").orderBy(*[F.desc_nulls_last(name) for name in fields])
+    single = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    rows = single.unionByName(events.where(F.col("id").isNull()))
     write_table(rows, path, ["id"])

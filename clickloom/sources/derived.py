@@ -15,20 +15,20 @@ SPARK_EPOCH = ("(unix_date(CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(
 
 CLICK_RULES = {
     "_id": "CAST(event_id AS {S})",
-    "a": "CASE event_type WHEN 'view' THEN 'Mozilla/5.0 (iPad; CPU OS 8_3)' "
-         "WHEN 'click' THEN 'Mozilla/5.0 (X11; Linux x86_64)' ELSE 'Opera' END",
-    "al": "CASE user_id % 3 WHEN 0 THEN 'en-gb' WHEN 1 THEN 'es,en;q=0.8' END",
+    "a": "CASE event_type WHEN 'view' THEN 'Reader/2.4 (tablet)' "
+         "WHEN 'click' THEN 'Desk/7.1 (linux)' ELSE 'Opera' END",
+    "al": "CASE user_id % 3 WHEN 0 THEN 'fi-fi' WHEN 1 THEN 'es,en;q=0.8' END",
     "c": "CASE WHEN event_id % 40 = 0 THEN NULL WHEN user_id % 5 IN (0, 1) THEN 'US' "
          "WHEN user_id % 5 = 2 THEN 'SE' WHEN user_id % 5 = 3 THEN 'GB' ELSE 'ZZ' END",
     "cy": "CASE user_id % 5 WHEN 0 THEN 'New York' WHEN 1 THEN 'Los Angeles' "
-          "WHEN 2 THEN 'Göteborg' WHEN 3 THEN 'London' END",
+          "WHEN 2 THEN 'Lund' WHEN 3 THEN 'London' END",
     "g": "concat('g', CAST(event_id % 1000 AS {S}))",
     "gr": "CAST(user_id % 30 AS {S})",
     "h": "concat('h', CAST(event_id AS {S}))",
     "hc": "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST({EPOCH} AS BIGINT) - user_id END",
-    "hh": "CASE event_type WHEN 'view' THEN '1.usa.gov' WHEN 'click' THEN 'ift.tt' "
+    "hh": "CASE event_type WHEN 'view' THEN '1.usa.gov' WHEN 'click' THEN 'go.example.org' "
           "ELSE 'bit.ly' END",
-    "l": "CASE WHEN user_id % 7 = 0 THEN 'ifttt' END",
+    "l": "CASE WHEN user_id % 7 = 0 THEN 'nightbus' END",
     "lat": "CASE WHEN event_id % 45 = 0 THEN NULL "
            "ELSE CAST((user_id * 37) % 180 - 90 AS INT) END",
     "lon": "CASE WHEN event_id % 45 = 0 THEN NULL "

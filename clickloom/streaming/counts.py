@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom.functions.clock import epoch_unit
 from clickloom.operators.counts import count_keys
 from clickloom.schema import SERVING_TABLES
-from clickloom.sinks.tables import write_table
 from clickloom.sources.serving import read_table
 
 
@@ -35,14 +34,8 @@ def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max("clicks").alias("clicks"))
 
 
-def compact_live(spark: SparkSession, live: str, root: str, table: str, before: str) -> None:
-    """Write the days before ``before``, which the watermark has closed, as serving rows."""
-    closed = read_live(spark, live, table).where(F.col("date") < before)
-    write_table(closed, f"{root}/{table}")
-
-
 def read_counts(spark: SparkSession, live: str, root: str, table: str) -> DataFrame:
-    """Serving rows of the compacted days and live rows of the days after them."""
+    """Serving rows of the closed days and live rows of the days after them."""
     served = read_table(spark, root, table)
     last = served.select(F.coalesce(F.max("date"), F.lit(""))).scalar()
     recent = read_live(spark, live, table).where(F.col("date") > last)

@@ -55,16 +55,26 @@ def append_live(counts: DataFrame, path: str, checkpoint: str,
     return _writer(counts, checkpoint, every).outputMode("update").foreachBatch(write).start()
 
 
-def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
-    """Let queries run for a bounded time, then stop them between two batches.
+def run_for(queries: Iterable[StreamingQuery], seconds: float, grace: float = 60.0) -> None:
+    """Let queries run for a bounded time, then stop them all between two batches.
 
-    Should a batch be cut short, the next start from the checkpoint repeats it.
+    When one fails the others are stopped as well, and its error is raised at the end. A query
+    that is still within a batch after ``grace`` seconds is stopped there; the next start from the
+    checkpoint repeats the batch.
     """
     queries = list(queries)
     end = time.monotonic() + seconds
+    try:
+        while time.monotonic() < end and any(query.isActive for query in queries):
+            if any(query.exception() for query in queries):
+                break
+            time.sleep(min(0.2, max(0.0, end - time.monotonic())))
+    finally:
+        last = time.monotonic() + grace
+        for query in queries:
+            while query.isActive and query.status["isTriggerActive"] and time.monotonic() < last:
+                time.sleep(0.05)
+            query.stop()
     for query in queries:
-        query.awaitTermination(max(0.001, end - time.monotonic()))
-    for query in queries:
-        while query.isActive and query.status["isTriggerActive"]:
-            time.sleep(0.05)
-        query.stop()
+        if error := query.exception():
+            raise error

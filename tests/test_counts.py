@@ -116,7 +116,7 @@ DOCS = "t bigint, location array<double>, domain string, timezone string, short_
 def docs(spark):
     return spark.createDataFrame([
         (0, [11.9668, 57.7072], "a.gov", "x", "bit.ly", 1), (59, [11.9668, 57.7072], "a.gov", "y", "bit.ly", 0),
-        (60, None, "b.gov", "x", "ift.tt", None), (None, [0.0, 0.0], None, None, None, 1),
+        (60, None, "b.gov", "x", "go.example.org", None), (None, [0.0, 0.0], None, None, None, 1),
     ], DOCS)
 
 
@@ -125,7 +125,7 @@ def test_panels(docs):
         [("1970-01-01 00:00", 2), ("1970-01-01 00:01", 1)], "m string, n bigint"))
     assert dashboards.period_total(docs, 0, 60).first().clicks == 2
     assert {r.short_url_cname: r.share for r in dashboards.method_share(docs).collect()} == {
-        "bit.ly": 2 / 3, "ift.tt": 1 / 3}
+        "bit.ly": 2 / 3, "go.example.org": 1 / 3}
     assert [r.timezone for r in dashboards.top_timezones(docs, 1).collect()] == ["x"]
     assert [r.domain for r in dashboards.top_document_domains(docs).collect()] == ["a.gov", "b.gov"]
     assert {r.cell: r.clicks for r in dashboards.geo_heatmap(docs, 7).collect()} == {

@@ -12,7 +12,7 @@ def values(spark, rows, schema, *columns):
 
 
 @pytest.mark.parametrize("url, domain", [
-    ("http://www.ncbi.nlm.nih.gov/pubmed/1?x=/y", "www.ncbi.nlm.nih.gov"),
+    ("http://maps.example.gov/harbour/1?x=/y", "maps.example.gov"),
     ("http://u@h.gov:8080/x", "u@h.gov:8080"),
     ("HTTP://Www.NASA.gov", "Www.NASA.gov"),
     ("", "N/A"), (None, None), ("no-scheme", None), ("http://", None), ("a/b", None),
@@ -22,7 +22,7 @@ def test_domain_of(spark, url, domain):
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
-@pytest.mark.parametrize("epoch", [1433933949, 0, -1, 86399, 1709251199, 951782400, 4102444799])
+@pytest.mark.parametrize("epoch", [1433920089, 0, -1, 86399, 1709251199, 951782400, 4102444799])
 def test_epoch_units_ignore_the_session_zone(spark, zone, epoch):
     at = dt.datetime.fromtimestamp(epoch, dt.timezone.utc)
     spark.conf.set("spark.sql.session.timeZone", zone)
@@ -42,23 +42,23 @@ def test_missing_epoch(spark):
 
 
 @pytest.mark.parametrize("text, day", [
-    ("1433933949", "2015-06-10"), ("", "N/A"), ("()", "N/A"), (None, "N/A"), ("x1", "N/A"),
+    ("1433920089", "2015-06-10"), ("", "N/A"), ("()", "N/A"), (None, "N/A"), ("x1", "N/A"),
 ])
 def test_epoch_text(spark, text, day):
     assert values(spark, [(text,)], "t string", fn.epoch_text_unit("t", "dia")) == [(day,)]
 
 
 def test_epoch_text_unknown_unit(spark):
-    rows = values(spark, [("1433933949",), ("",)], "t string", fn.epoch_text_unit("t", "year"))
+    rows = values(spark, [("1433920089",), ("",)], "t string", fn.epoch_text_unit("t", "year"))
     assert rows == [("1970-01-01",), ("N/A",)]
 
 
 @pytest.mark.parametrize("unit, text", [
-    ("dia", "2015-06-10"), ("horas", "2015-06-10 10"), ("minutos", "2015-06-10 10:59"),
-    ("segundos", "2015-06-10 10:59:09"), ("year", "1970-01-01 00:00:00"),
+    ("dia", "2015-06-10"), ("horas", "2015-06-10 07"), ("minutos", "2015-06-10 07:08"),
+    ("segundos", "2015-06-10 07:08:09"), ("year", "1970-01-01 00:00:00"),
 ])
 def test_today(spark, unit, text):
-    assert values(spark, [(1433933949,)], "t bigint", fn.today_unit(unit, F.col("t"))) == [(text,)]
+    assert values(spark, [(1433920089,)], "t bigint", fn.today_unit(unit, F.col("t"))) == [(text,)]
 
 
 def test_three_minutes_back_crosses_midnight(spark):
@@ -72,7 +72,7 @@ def test_today_is_now(spark):
 
 
 def test_labels(spark):
-    row = values(spark, [("2015-06-10", "10:59")], "d string, m string", fn.day_label("d"),
+    row = values(spark, [("2015-06-10", "07:08")], "d string, m string", fn.day_label("d"),
                  fn.parse_minute("d", "m"))
     assert row == [("Wed, 10 Jun 2015", dt.datetime(2015, 6, 10, 10, 59))]
 
@@ -115,9 +115,10 @@ def test_inverted_location(spark, ll, location):
 
 
 def test_countries(spark):
-    codes = [("SE",), ("US",), ("us",), ("ZZ",), ("",), (None,)]
+    codes = [("SE",), ("US",), ("us",), ("ZZ",), ("",), (None,), ("XK",), ("EU",), ("AN",), ("CS",)]
     named = fn.with_country(spark.createDataFrame(codes, "country_code string")).collect()
     assert {row.country_code: row.country for row in named} == {
+        "XK": "Kosovo", "EU": "European Union", "AN": "Netherlands Antilles", "CS": "Serbia and Montenegro",
         "SE": "Sweden", "US": "United States", "us": "United States", "ZZ": "ZZ", "": "",
         None: None,
     }
@@ -136,7 +137,7 @@ def test_country_dimension_is_small(spark):
 
 def test_sql_functions_equal_column_functions(spark):
     fn.register_functions(spark)
-    rows = [(1433933949, "1433933949", "http://u@h.gov:8080/x"), (-1, "-1", ""), (None, "()", "x"),
+    rows = [(1433920089, "1433920089", "http://u@h.gov:8080/x"), (-1, "-1", ""), (None, "()", "x"),
             (0, "no", None)]
     df = spark.createDataFrame(rows, "t bigint, s string, u string")
     columns, texts = [fn.domain_of("u")], ["getDomain(u)"]

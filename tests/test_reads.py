@@ -85,9 +85,6 @@ def test_payloads(lines, countries, domains):
     assert load(payloads.counter_payload(reads.daily_counter(raw, DAY), DAY)) == {
         "name_query": "globalcounter", "description": "Contador de accesos diarios",
         "date": "Wed, 10 Jun 2015", "results": [{"contador": "1"}]}
-    country = load(payloads.country_payload(reads.top_countries(countries, DAY)))
-    assert country["results"][:2] == [{"country": "United States", "contador": "10"},
-                                      {"country": "United Kingdom", "contador": "3"}]
     evolution = load(payloads.evolution_payload(reads.domain_evolution(domains, "b.gov", DAY)))
     assert evolution["results"] == [{"date": f"{DAY} 10:00", "dominio": "b.gov", "contador": 14}]
 
@@ -95,11 +92,13 @@ def test_payloads(lines, countries, domains):
 def test_whole_country_payload(countries):
     text = payloads.country_payload_lines(reads.top_countries(countries, DAY, None))
     whole = json.loads("".join(row.line for row in text.collect()))
-    assert whole == load(payloads.country_payload(reads.top_countries(countries, DAY)))
+    assert whole["results"][:2] == [{"country": "United States", "contador": "10"},
+                                    {"country": "United Kingdom", "contador": "3"}]
 
 
 def test_payload_of_nothing(countries):
-    assert load(payloads.country_payload(reads.top_countries(countries, "2000-01-01")))["results"] == []
+    text = payloads.country_payload_lines(reads.top_countries(countries, "2000-01-01", None))
+    assert json.loads("".join(row.line for row in text.collect()))["results"] == []
 
 
 @pytest.mark.parametrize("day, found", [(DAY, ["a.gov", "b.gov"]), ("2000-01-01", [])])

@@ -12,7 +12,7 @@ from clickloom.schema import COUNT_KEYS, count_table
 from clickloom.sources.lines import click_lines, parse_clicks
 from clickloom.sources.serving import read_table
 from clickloom.streaming import (
-    append_files, append_live, compact_live, line_feed, ids_once, read_counts, read_live, run_for,
+    append_files, append_live, close_days, line_feed, ids_once, odd_clicks, read_counts, read_live, run_for,
     start_counts, start_documents, timed_clicks, windowed_counts,
 )
 from clickloom.streaming.replay import deliver
@@ -177,14 +177,44 @@ def test_document_stream_equals_batch(spark, landing, lines, folder):
     assert sorted(streamed, key=key) == sorted(expected, key=key)
 
 
-def test_compaction_keeps_the_answer(spark, landing, folder):
+def test_a_closed_day_has_late_clicks_and_no_copies(spark, landing, folder):
     out = folder()
-    landing.add(click(t=START), click(t=START + 86400))
-    landing.add(click(t=START + 1), click(t=START + 86401), click(t=START + 2 * 86400))
-    live = rows_of(run_live(spark, landing, out))
-    compact_live(spark, f"{out}/live", f"{out}/served", "domain_minutes", "2015-06-12")
-    assert read_table(spark, f"{out}/served", "domain_minutes").count() == 2
-    assert rows_of(read_counts(spark, f"{out}/live", f"{out}/served", "domain_minutes")) == live
+    landing.add(click(_id="a", t=START), click(_id="b", t=START + 7200), click(_id="b", t=START + 7200))
+    landing.add(click(_id="c", t=START + 14400), click(_id="d", t=START + 86400))
+    landing.add(click(_id="a", t=START + 60))  # hours late
+    queries = start_counts(feed(spark, landing), f"{out}/live", f"{out}/state", every=None)
+    for query in queries.values():
+        query.awaitTermination()
+    close_days(spark, f"{out}/live", f"{out}/served", ["2015-06-10"])
+    served = read_table(spark, f"{out}/served", "domain_minutes").collect()
+    assert {(r.time, r.clicks) for r in served} == {("00:00", 1), ("00:01", 1), ("02:00", 2), ("04:00", 1)}
+    assert read_table(spark, f"{out}/served", "raw_clicks").count() == 4
+    assert sorted(r.id for r in read_table(spark, f"{out}/served", "click_ids").collect()) == ["a", "b", "c"]
+    assert not Path(out, "live", "domain_minutes", "date=2015-06-10").exists()
+    both = read_counts(spark, f"{out}/live/domain_minutes", f"{out}/served", "domain_minutes")
+    assert sum(r.clicks for r in both.collect()) == 6
+
+
+@pytest.mark.parametrize("odd", [START * 1000, START * 1_000_000, -5, 2 ** 62])
+def test_an_odd_time_neither_stops_nor_moves_the_feed(spark, landing, folder, odd):
+    out = folder()
+    landing.add(click(_id="1", t=START), click(_id="odd", t=odd))
+    landing.add(click(_id="2", t=START + 1))
+    landing.add(click(_id="3", t=START + 2))
+    assert sum(r.clicks for r in run_live(spark, landing, out).collect()) == 3
+    append_files(odd_clicks(feed(spark, landing)), f"{out}/odd", f"{out}/odd-state").awaitTermination()
+    assert [json.loads(r.event)["_id"] for r in spark.read.parquet(f"{out}/odd").collect()] == ["odd"]
+
+
+def test_one_failing_query_stops_the_others(spark, landing, folder):
+    out = folder()
+    landing.add(click(t=START))
+    good = append_live(minutes(spark, landing), f"{out}/live", f"{out}/state", every="1 second")
+    broken = feed(spark, landing).select(F.raise_error(F.lit("broken")).alias("date"), "event")
+    bad = append_files(broken, f"{out}/bad", f"{out}/bad-state", every="1 second")
+    with pytest.raises(Exception):
+        run_for([good, bad], 60)
+    assert not good.isActive and not bad.isActive
 
 
 def test_bounded_run(spark, landing, folder):
