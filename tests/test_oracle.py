@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from clickloom.catalog import catalog as queries
+from clickloom.oracle import oracle_sql
 from tests.conftest import TABLES
 from tests.oracle_check import compare, connect
 
