@@ -23,19 +23,20 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import Layout, add_up, answered, pack, sharded, unpack, with_answers
+from clickloom.llm.packed import Layout, add_up, answered, bucket_of, pack, sharded, unpack, with_answers
 from clickloom.llm.text import find_words, mix, strings
 from clickloom.session import scratch_dir
 
 #: Fixed values of the held-out rule.
 FOLDS, HELD_OUT = 7, 2
-#: Bits of the filter: about this many per mark, at most MAX_BITS (a power of two, 64 MB).
+#: Bits of the filter: about this many per mark, at most MAX_BITS (64 MB).
 BITS_PER_MARK, MAX_BITS = 10, 1 << 29
 PROBES = 3
 #: The part of pairs in a score, and the count of a history at which it has half of it.
@@ -43,7 +44,7 @@ SHARE, HALF = 0.4, 20.0
 
 END = mix(np.array([0x2545F4914F6CDD1D], np.uint64))[0]
 _SALT = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
-_MARK = np.uint64(0x9FB21C651E98DF25)
+_MARK = 0x9FB21C651E98DF25
 
 _RESULT = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
            "base_score double, score double")
@@ -100,54 +101,59 @@ def marks_of(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
-def positions(keys: np.ndarray, mark: np.ndarray | int, bits: int) -> Iterator[np.ndarray]:
-    """The bits that stand for pairs with a mark."""
-    first = mix(keys + _MARK * np.asarray(mark, np.uint64))
+@dataclass(frozen=True)
+class Shape:
+    """A filter of as many slices as there are buckets of keys, each of ``2 ** log`` bits."""
+
+    slices: int
+    log: int
+
+    @classmethod
+    def of(cls, marks: int, slices: int, max_bits: int) -> Shape:
+        wanted, most = BITS_PER_MARK * marks // slices, max_bits // slices
+        return cls(slices, max(10, min(wanted.bit_length(), most.bit_length() - 1)))
+
+    @property
+    def bits(self) -> int:
+        return self.slices << self.log
+
+
+def positions(keys: np.ndarray, mark: int, shape: Shape) -> Iterator[np.ndarray]:
+    """The bits that stand for pairs with a mark, all in the slice of the pair's bucket."""
+    begin = bucket_of(keys, shape.slices) << shape.log
+    first = mix(keys + np.uint64(_MARK * mark & 0xFFFFFFFFFFFFFFFF))
     step = mix(first) | np.uint64(1)
     for k in range(PROBES):
-        yield (first + np.uint64(k) * step) & np.uint64(bits - 1)
-
+        yield begin + ((first + np.uint64(k) * step) >> np.uint64(64 - shape.log)).astype(np.int64)
 
-def build_filter(pairs: DataFrame, bits: int) -> np.ndarray:
-    """The filter's bytes. Tasks set bits of their bucket's pairs; slices of the filter are put together
-    by position, so what reaches the driver is the filter and no more."""
-    slices = max(1, bits >> 20)
 
-    def mark(table: pa.Table) -> pa.Table:
+def build_filter(pairs: DataFrame, shape: Shape) -> np.ndarray:
+    """The filter's bytes. A bucket's pairs fill a slice of their own, so nothing is shuffled but
+    their counts, and what reaches the driver is the filter and no more."""
+    def fill(table: pa.Table) -> pa.Table:
         keys, counts = add_up(*unpack(table)[:2])
-        q = marks_of(counts)
-        out = np.concatenate([np.zeros(0, np.uint64), *(p for level in range(1, int(q.max(initial=0)) + 1)
-                                                        for p in positions(keys[q >= level], level, bits))])
-        out = np.unique(out)
-        slice_ = (out >> np.uint64(20)).astype(np.int64)
-        at = np.searchsorted(slice_, np.arange(slices + 1))
-        some = np.flatnonzero(np.diff(at))
-        low = (out & np.uint64((1 << 20) - 1)).astype("<u4")
-        return pa.table({"slice": pa.array(some.astype(np.int32)),
-                         "bits": pa.array([low[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())})
-
-    def put(table: pa.Table) -> pa.Table:
-        mine = np.zeros(1 << 20, bool)
-        for x in table["bits"].to_pylist():
-            mine[np.frombuffer(x, "<u4")] = True
-        return pa.table({"slice": table["slice"].slice(0, 1), "bits": pa.array([np.packbits(mine, bitorder="little").tobytes()])})
-
-    marked = pairs.groupBy("bucket").applyInArrow(mark, "slice int, bits binary")
-    parts = marked.groupBy("slice").applyInArrow(put, "slice int, bits binary").collect()  # bits / 8 bytes
-    out = np.zeros(max(bits, 1 << 20) // 8, np.uint8)
-    for part in parts:
-        out[part["slice"] << 17:(part["slice"] + 1) << 17] = np.frombuffer(bytes(part["bits"]), np.uint8)
+        bucket, marks = table["bucket"][0].as_py(), marks_of(counts)
+        mine = np.zeros(1 << shape.log, bool)
+        for level in range(1, int(marks.max(initial=0)) + 1):
+            for place in positions(keys[marks >= level], level, shape):
+                mine[place - (bucket << shape.log)] = True
+        return pa.table({"slice": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(mine, bitorder="little").tobytes()])})
+
+    out = np.zeros(shape.bits // 8, np.uint8)
+    for part in pairs.groupBy("bucket").applyInArrow(fill, "slice int, bits binary").collect():  # shape.bits / 8 bytes
+        at = part["slice"] << shape.log >> 3
+        out[at:at + len(part["bits"])] = np.frombuffer(bytes(part["bits"]), np.uint8)
     return out
 
 
-def probed(filter_: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+def probed(filter_: np.ndarray, keys: np.ndarray, shape: Shape) -> np.ndarray:
     """The counts that the filter gives for pairs, 0 for one it does not hold."""
     mark, open_, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0
     while len(open_):
         level += 1
         held = np.ones(len(open_), bool)
-        for bit in positions(keys[open_], level, bits):
-            held &= (filter_[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        for bit in positions(keys[open_], level, shape):
+            held &= (filter_[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
         open_ = open_[held]
         mark[open_] = level
     return np.where(mark > 1, 0.75 * 2.0 ** mark, mark)
@@ -174,9 +180,9 @@ def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     total = words.groupBy("bucket").applyInArrow(sums, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
     n, v = int(total[0] or 0), int(total[1] or 0)
     pairs = count_pairs(rows, layout)
-    # one mark per pair and doubling of its count: at most one for each token in training
-    bits = 1 << max(20, min(max_bits.bit_length() - 1, (BITS_PER_MARK * max(n, 1) // 2).bit_length()))
-    held = spark.sparkContext.broadcast(build_filter(pairs, bits))
+    # one mark per pair and doubling of its count: at most one for each token in training, as a rule half
+    shape = Shape.of(n // 2, layout.buckets, max_bits)
+    held = spark.sparkContext.broadcast(build_filter(pairs, shape))
     base = np.log10(n + v + 1.0)
 
     def run(_shard: int, keys: np.ndarray, counts: np.ndarray, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +196,7 @@ def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             first[bounds[:-1]] = True
             ask = ~first & (c > 0) & (before > 0)
             both = np.zeros(len(tokens))
-            both[ask] = probed(held.value, pairs_of(tokens)[ask], bits)
+            both[ask] = probed(held.value, pairs_of(tokens)[ask], shape)
             share = np.where(first, 0.0, SHARE * before / (before + HALF))
             two = np.minimum(both, np.minimum(before, c)) / np.maximum(before, 1)
             log2 = np.log10(share * two + (1 - share) * 10.0 ** log1)
