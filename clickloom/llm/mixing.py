@@ -36,7 +36,7 @@ from clickloom.session import scratch_dir
 #: Bounds of the classifier: labelled documents fitted on, and hashed words.
 SAMPLE = 12_000
 BUCKETS = 1 << 15
-EPOCHS, RATE, DECAY = 30, 0.5, 1e-4
+EPOCHS, BATCH, LEAST_STEPS, RATE, DECAY = 30, 256, 800, 0.1, 1e-4
 #: Steps of the projected gradient; it stops when the totals are this close.
 STEPS, CLOSE = 25, 1e-6
 #: No document is repeated more often than MOST. The Gram matrix is damped by this part of all tokens, so that a domain
@@ -103,10 +103,10 @@ def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray
     # a class counts by the square root of its rarity
     cost = 1 / np.sqrt(want @ share * len(domains))
     past, chooser = np.full_like(weights, 1e-8), np.random.default_rng(0)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(rows))):
         order = chooser.permutation(len(rows))
-        for at in range(0, len(rows), 256):
-            batch = order[at:at + 256]
+        for at in range(0, len(rows), BATCH):
+            batch = order[at:at + BATCH]
             bounds = np.append(0, np.cumsum([len(features[i]) for i in batch]))
             keys = np.concatenate([features[i] for i in batch])
             error = (softmax(score(weights, keys, bounds)) - want[batch]) * cost[batch, None] / len(batch)
@@ -115,10 +115,10 @@ def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray
             slope = np.stack([np.bincount(place, spread[:, d], len(touched)) for d in range(len(domains))], 1)
             slope += DECAY * weights[touched]
             past[touched] += slope ** 2
-            weights[touched] -= RATE * 0.2 * slope / np.sqrt(past[touched])
+            weights[touched] -= RATE * slope / np.sqrt(past[touched])
             bias = error.sum(axis=0)
             past[-1] += bias ** 2
-            weights[-1] -= RATE * 0.2 * bias / np.sqrt(past[-1])
+            weights[-1] -= RATE * bias / np.sqrt(past[-1])
     return weights
 
 
