@@ -13,7 +13,7 @@
    left goes round again: a bucket is settled when all its members are in one component. For the
    others each set's support is found, the shingles that any other set has too. A set cannot
    share more than its support, so most edited copies that are too far from the rest are ruled out without
-   being compared. What remains gets eight stars, then 64 and so on, each centre leaving its bucket, until every
+   being compared. Buckets with the same first centre are put together. What remains gets eight stars, then 64 and so on, each centre leaving its bucket, until every
    bucket is settled; nothing is capped. No link between documents that share a bucket is lost.
 
 Two documents at the threshold share no bucket with probability (1 - 0.75**4)**32, 5 in a million.
@@ -150,6 +150,13 @@ def stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
 
 
+def families(open_: DataFrame) -> DataFrame:
+    """Open buckets with the same first centre as one, so that members who meet in many bands meet once."""
+    centre = open_.groupBy("bucket").agg(F.max(F.struct("shared", (-F.col("id")).alias("id"))).alias("c"))
+    return (open_.join(centre, "bucket")
+            .select((-F.col("c.id")).alias("bucket"), "id", "shared", "component").distinct())
+
+
 def later_stars(open_: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
     """Edges of the next ``centres`` stars of every open bucket, and what is open without these centres."""
     # the ranking is cut to as many rows per bucket in each task before it is shuffled
@@ -286,6 +293,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not open_.limit(1).count():
             break
         if centres == 1:
+            open_ = store(families(open_))
             size = store(supported(texts, open_.select("id").distinct()))
             open_ = open_.join(size, "id")
         open_, centres = store(feasible(open_)), 8 * centres
