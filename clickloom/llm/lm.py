@@ -7,9 +7,11 @@ each of the marks 1 .. q. A reader probes with 1, 2, ... until a probe fails; th
 holds gives the count back as the middle of its range. A mark that holds by chance makes a pair a
 step too frequent, with the filter's false-positive rate; no mark that was put in is ever missed.
 
-The filter has at most ``max_bits`` bits whatever the corpus, so it may be broadcast. Up to this it
-grows with the number of marks, about ten bits each; beyond, no pair is left out but chance hits
-grow, and ``max_bits`` is to be raised as far as workers' memory goes.
+The filter is cut by ranges of keys into one slice per bucket, about ten bits a mark, so it grows with the marks and
+chance hits stay as rare whatever the corpus. A slice is filled and probed where its bucket is: the pairs that a
+shard's documents ask about go to their slices packed, and the marks found come back to the shard. No task and no
+driver ever holds more than one slice. A slice is never probed beyond the highest mark put into it. As most
+pairs have mark 1, it is not sent back: a pair without an answer has it.
 
 Score of a token w after h: ``a p2(w | h) + (1 - a) p1(w)``, with p1 the base probability and
 p2 = c(h w) / c(h), at most 1; a is ``SHARE`` for frequent h and less for rare ones. The first token of a text
@@ -30,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import Layout, add_up, answered, bucket_of, pack, sharded, unpack, with_answers
+from clickloom.llm.packed import Layout, among, answered, bucket_of, pack, sharded, unpack, with_answers
 from clickloom.llm.text import find_words, mix, strings
 from clickloom.session import scratch_dir
 
 #: Fixed values of the held-out rule.
 FOLDS, HELD_OUT = 7, 2
-#: Bits of the filter: about this many per mark, at most MAX_BITS (64 MB).
-BITS_PER_MARK, MAX_BITS = 10, 1 << 29
+#: Bits of the filter per mark, at least.
+BITS_PER_MARK = 10
 PROBES = 3
 #: The part of pairs in a score, and the count of a history at which it has half of it.
 SHARE, HALF = 0.4, 20.0
@@ -85,14 +87,14 @@ def count_words(docs: DataFrame, layout: Layout) -> DataFrame:
 
 
 def count_pairs(docs: DataFrame, layout: Layout) -> DataFrame:
-    """Packed pairs of training documents."""
+    """Per shard and bucket the pairs its documents hold, with their counts in training; 0 is a pair only asked for."""
     def keys_of(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         train = in_training(chunk["doc_id"].to_pylist())
         tokens, bounds = token_hashes(strings(chunk["text"]))
-        used = np.repeat(train, np.diff(bounds))
+        used = np.ones(len(tokens), bool)
         used[bounds[:-1]] = False
-        keys = pairs_of(tokens)[used]
-        return keys, np.ones(len(keys), np.int64), np.append(0, np.cumsum(used))[bounds]
+        counted = np.repeat(train, np.diff(bounds)).astype(np.int64)
+        return pairs_of(tokens)[used], counted[used], np.append(0, np.cumsum(used))[bounds]
 
     return pack(docs, layout, keys_of, whole=True)
 
@@ -103,15 +105,18 @@ def marks_of(counts: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Shape:
-    """A filter of as many slices as there are buckets of keys, each of ``2 ** log`` bits."""
+    """A filter of slices by ranges of keys, each of ``2 ** log`` bits."""
 
     slices: int
     log: int
 
     @classmethod
-    def of(cls, marks: int, slices: int, max_bits: int) -> Shape:
-        wanted, most = BITS_PER_MARK * marks // slices, max_bits // slices
-        return cls(slices, max(10, min(wanted.bit_length(), most.bit_length() - 1)))
+    def of(cls, marks: int, slices: int, max_bits: int | None = None) -> Shape:
+        """About ten bits a mark and twenty at most; ``max_bits`` bounds all slices together, if it is given."""
+        log = (BITS_PER_MARK * marks // slices).bit_length()
+        if max_bits is not None:
+            log = min(log, (max_bits // slices).bit_length() - 1)
+        return cls(slices, max(10, log))
 
     @property
     def bits(self) -> int:
@@ -127,39 +132,47 @@ def positions(keys: np.ndarray, mark: int, shape: Shape) -> Iterator[np.ndarray]
         yield begin + ((first + np.uint64(k) * step) >> np.uint64(64 - shape.log)).astype(np.int64)
 
 
-def build_filter(pairs: DataFrame, shape: Shape) -> np.ndarray:
-    """The filter's bytes. A bucket's pairs fill a slice of their own, so nothing is shuffled but
-    their counts, and what reaches the driver is the filter and no more."""
-    def fill(table: pa.Table) -> pa.Table:
-        keys, counts = add_up(*unpack(table)[:2])
-        bucket, marks = table["bucket"][0].as_py(), marks_of(counts)
-        mine = np.zeros(1 << shape.log, bool)
-        for level in range(1, int(marks.max(initial=0)) + 1):
-            for place in positions(keys[marks >= level], level, shape):
-                mine[place - (bucket << shape.log)] = True
-        return pa.table({"slice": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(mine, bitorder="little").tobytes()])})
+def filled(keys: np.ndarray, marks: np.ndarray, shape: Shape) -> np.ndarray:
+    """The bytes of a filter that holds distinct pairs with each of their marks."""
+    bits = np.zeros(shape.bits, bool)
+    for level in range(1, int(marks.max(initial=0)) + 1):
+        for place in positions(keys[marks >= level], level, shape):
+            bits[place] = True
+    return np.packbits(bits, bitorder="little")
 
-    out = np.zeros(shape.bits // 8, np.uint8)
-    for part in pairs.groupBy("bucket").applyInArrow(fill, "slice int, bits binary").collect():  # shape.bits / 8 bytes
-        at = part["slice"] << shape.log >> 3
-        out[at:at + len(part["bits"])] = np.frombuffer(bytes(part["bits"]), np.uint8)
-    return out
 
-
-def probed(filter_: np.ndarray, keys: np.ndarray, shape: Shape) -> np.ndarray:
-    """The counts that the filter gives for pairs, 0 for one it does not hold."""
+def probed_marks(filter_: np.ndarray, keys: np.ndarray, shape: Shape, most: int | None = None) -> np.ndarray:
+    """The highest mark, ``most`` at most, up to which the filter holds all of a pair's; 0 for a pair it does not hold."""
     mark, open_, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0
-    while len(open_):
+    while len(open_) and level != most:
         level += 1
         held = np.ones(len(open_), bool)
         for bit in positions(keys[open_], level, shape):
             held &= (filter_[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
         open_ = open_[held]
         mark[open_] = level
+    return mark
+
+
+def middle(mark: np.ndarray) -> np.ndarray:
+    """The middle of the counts that have a mark."""
     return np.where(mark > 1, 0.75 * 2.0 ** mark, mark)
 
 
-def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def probed(filter_: np.ndarray, keys: np.ndarray, shape: Shape, most: int | None = None) -> np.ndarray:
+    """The counts that the filter gives for pairs, 0 for one it does not hold."""
+    return middle(probed_marks(filter_, keys, shape, most))
+
+
+def through_slice(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The marks of a bucket's distinct pairs as its slice of the filter gives them; those counted 0 are not put in."""
+    held = counts > 0
+    marks = marks_of(counts[held])
+    shape = Shape.of(int(marks.sum()), 1)
+    return probed_marks(filled(keys[held], marks, shape), keys, shape, int(marks.max(initial=0)))
+
+
+def score_documents(docs: DataFrame) -> DataFrame:
     """Per row the exact base score and the model's score of the whole text."""
     spark = docs.sparkSession
     layout = Layout.of(docs)
@@ -179,13 +192,11 @@ def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     total = words.groupBy("bucket").applyInArrow(sums, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
     n, v = int(total[0] or 0), int(total[1] or 0)
-    pairs = count_pairs(rows, layout)
-    # one mark per pair and doubling of its count: at most one for each token in training, as a rule half
-    shape = Shape.of(n // 2, layout.buckets, max_bits)
-    held = spark.sparkContext.broadcast(build_filter(pairs, shape))
+    marks = answered(count_pairs(rows, layout), lambda mark: mark != 1, through_slice)
     base = np.log10(n + v + 1.0)
 
-    def run(_shard: int, keys: np.ndarray, counts: np.ndarray, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def run(_shard: int, keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, mark: np.ndarray,
+            tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         for table in tables:
             ids = table["doc_id"].to_pylist()
             tokens, bounds = token_hashes(strings(table["text"]))
@@ -196,7 +207,10 @@ def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             first[bounds[:-1]] = True
             ask = ~first & (c > 0) & (before > 0)
             both = np.zeros(len(tokens))
-            both[ask] = probed(held.value, pairs_of(tokens)[ask], shape)
+            asked = pairs_of(tokens)[ask]
+            told, found = among(asked, pairs), np.ones(len(asked), np.int64)
+            found[told] = mark[np.searchsorted(pairs, asked[told])]
+            both[ask] = middle(found)
             share = np.where(first, 0.0, SHARE * before / (before + HALF))
             two = np.minimum(both, np.minimum(before, c)) / np.maximum(before, 1)
             log2 = np.log10(share * two + (1 - share) * 10.0 ** log1)
@@ -207,7 +221,7 @@ def score_documents(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 pa.array(np.full(len(ids), n)), pa.array(add(log1)), pa.array(add(log2))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return with_answers(rows, words, layout, run, _RESULT)
+    return with_answers(rows, words, layout, run, _RESULT, marks)
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

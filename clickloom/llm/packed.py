@@ -95,15 +95,21 @@ class Packer:
             bucket = bucket_of(keys, self.buckets)
             at = np.searchsorted(bucket, np.arange(self.buckets + 1))
             some = np.flatnonzero(np.diff(at))
-            keys, counts = keys.astype("<u8"), self.kept(counts).astype("<u4")
+            keys, counts = keys.astype("<u8"), self.kept(counts)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(some), shard, np.int32)), pa.array(some.astype(np.int32)),
                 pa.array([keys[at[b]:at[b + 1]].tobytes() for b in some], pa.binary()),
-                pa.array([counts[at[b]:at[b + 1]].tobytes() for b in some], pa.binary()),
+                pa.array([packed_counts(counts[at[b]:at[b + 1]]).tobytes() for b in some], pa.binary()),
             ], ["shard", "bucket", "keys", "counts"])
         self.held, self.size = {}, 0
 
 
+def packed_counts(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes each as the largest needs: 1, 2, 4 or 8."""
+    most = int(counts.max(initial=0))
+    return counts.astype(next(f"<u{n}" for n in (1, 2, 4, 8) if most < 1 << 8 * n))
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Ranges of keys, in their order."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -144,16 +150,22 @@ def pack(docs: DataFrame, layout: Layout, keys_of: Callable, kept=lambda counts:
 def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys and counts of all rows end to end, and the row each belongs to."""
     keys = [np.frombuffer(x, "<u8") for x in table["keys"].to_pylist()]
-    counts = [np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()]
+    counts = [np.frombuffer(x, f"<u{len(x) // max(len(k), 1) or 1}") for k, x in zip(keys, table["counts"].to_pylist())]
     row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    return (np.concatenate([*keys, np.zeros(0, "<u8")]), np.concatenate([*counts, np.zeros(0, "<u4")]).astype(np.int64), row)
+    return (np.concatenate([*keys, np.zeros(0, "<u8")]), np.concatenate([*[c.astype(np.int64) for c in counts], np.zeros(0, np.int64)]), row)
+
 
+def answered(packed: DataFrame, wanted: Callable[[np.ndarray], np.ndarray] | None = None,
+             known: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """Per shard and bucket its keys with their counts over all shards, those that are ``wanted``.
 
-def answered(packed: DataFrame, wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """Per shard and bucket its keys with their counts over all shards, those that are ``wanted``."""
+    ``known`` makes something else of a bucket's distinct keys and their counts, to be sent in place of counts.
+    """
     def run(table: pa.Table) -> pa.Table:
         keys, counts, row = unpack(table)
         distinct, total = add_up(keys, counts)
+        if known:
+            total = known(distinct, total)
         mine = total[np.searchsorted(distinct, keys)]
         shard = table["shard"].to_numpy()[row]
         keep = wanted(mine) if wanted else np.ones(len(keys), bool)
@@ -163,7 +175,7 @@ def answered(packed: DataFrame, wanted: Callable[[np.ndarray], np.ndarray] | Non
         keys, mine, shard = keys[order], mine[order], shard[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])
-        keys, mine, shard = keys[new].astype("<u8"), mine[new].astype("<u4"), shard[new]
+        keys, mine, shard = keys[new].astype("<u8"), mine[new], shard[new]
         values, begin = np.unique(shard, return_index=True)
         bounds = [*begin.tolist(), len(keys)]
         bucket = table["bucket"][0].as_py() if table.num_rows else 0
@@ -171,32 +183,40 @@ def answered(packed: DataFrame, wanted: Callable[[np.ndarray], np.ndarray] | Non
             "shard": pa.array(values.astype(np.int32)),
             "bucket": pa.array(np.full(len(values), bucket, np.int32)),
             "keys": pa.array([keys[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
-            "counts": pa.array([mine[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
+            "counts": pa.array([packed_counts(mine[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
         })
 
     return packed.groupBy("bucket").applyInArrow(run, PACKED)
 
 
-def with_answers(docs: DataFrame, answers: DataFrame, layout: Layout, run: Callable, schema: str) -> DataFrame:
+def with_answers(docs: DataFrame, answers: DataFrame, layout: Layout, run: Callable, schema: str, *more: DataFrame) -> DataFrame:
     """Run ``run(shard, keys, counts, chunks of the shard's documents)`` for each shard.
 
+    Keys and counts of ``more`` answers follow those of the first.
+
     Documents and answers are put in one table and dealt out by shard, answers first. Of these a
     task keeps one shard's; documents stream past them.
     """
-    left = answers.select("shard", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("doc_id"),
-                          F.lit(None).cast("string").alias("text"), "keys", "counts")
-    right = docs.select("shard", F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("keys"),
+    kinds = 1 + len(more)
+    dealt = docs.select("shard", F.lit(kinds).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("keys"),
                         F.lit(None).cast("binary").alias("counts"))
-    dealt = left.unionByName(right).repartition(layout.shards, "shard").sortWithinPartitions("shard", "kind", "doc_id")
+    for k, frame in enumerate((answers, *more)):
+        dealt = dealt.unionByName(frame.select("shard", F.lit(k).alias("kind"), F.lit(None).cast("bigint").alias("doc_id"),
+                                               F.lit(None).cast("string").alias("text"), "keys", "counts"))
+    dealt = dealt.repartition(layout.shards, "shard").sortWithinPartitions("shard", "kind", "doc_id")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held, docs_ = None, [], []
 
         def done() -> Iterator[pa.RecordBatch]:
             if docs_:
-                keys, counts, _ = unpack(pa.concat_tables(held)) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
-                order = np.argsort(keys)
-                yield from run(shard, keys[order], counts[order], docs_)
+                known = []
+                for k in range(kinds):
+                    mine = [rows for kind, rows in held if kind == k]
+                    keys, counts, _ = unpack(pa.concat_tables(mine)) if mine else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
+                    order = np.argsort(keys)
+                    known += [keys[order], counts[order]]
+                yield from run(shard, *known, docs_)
 
         for batch in batches:
             for value, rows in by_shard(pa.Table.from_batches([batch])):
@@ -204,9 +224,10 @@ def with_answers(docs: DataFrame, answers: DataFrame, layout: Layout, run: Calla
                     yield from done()
                     shard, held, docs_ = value, [], []
                 kind = rows["kind"].to_numpy()
-                split = int((kind == 0).sum())
-                if split:
-                    held.append(rows.slice(0, split).select(["keys", "counts"]))
+                split = int((kind < kinds).sum())
+                for k in np.unique(kind[:split]).tolist():
+                    a, b = np.searchsorted(kind, [k, k + 1])
+                    held.append((k, rows.slice(a, b - a).select(["keys", "counts"])))
                 if split < len(kind):
                     docs_ += list(chunks(iter(rows.slice(split).select(["doc_id", "text"]).combine_chunks().to_batches())))
         yield from done()

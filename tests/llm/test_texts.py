@@ -200,3 +200,36 @@ def test_expectation_maximisation_finds_the_reliable_rules():
 ])
 def test_an_empty_table_gives_an_empty_result(documents, operator):
     assert operator(documents()).count() == 0
+
+
+def test_filter_grows_with_its_marks_and_probes_end():
+    import numpy as np
+    from clickloom.llm import packed
+
+    # more marks than the 2 ** 29 bits that were once the most
+    assert lm.Shape.of(1 << 32, 64).bits >= 10 << 32
+    keys = np.sort(lm.mix(np.arange(1, 400_001, dtype=np.uint64)))
+    counts = np.where(np.arange(400_000) % 4 == 0, 0, np.arange(400_000) % 37)
+    marks = lm.through_slice(keys, counts)
+    right = np.where(counts > 0, lm.marks_of(counts), 0)
+    assert (marks >= right).all() and (marks[counts == 0] > 0).mean() < 0.02 and (marks > right).mean() < 0.02
+    # a filter without a free bit ends at the highest mark put in
+    full, shape = np.full(128, 255, np.uint8), lm.Shape(1, 10)
+    assert set(lm.probed_marks(full, keys[:9], shape, 5)) == {5}
+    assert packed.packed_counts(np.array([1, 1 << 33])).tolist() == [1, 1 << 33]
+
+
+def test_pairs_reach_their_slice_and_come_back(spark, documents, all_rows):
+    import collections as c
+
+    from clickloom.llm import packed
+
+    docs = documents(*all_rows)
+    layout = packed.Layout(7, 5)
+    rows = packed.sharded(docs, layout)
+    found = packed.answered(lm.count_pairs(rows, layout), None, lm.through_slice).collect()
+    keys = c.Counter()
+    for r in found:
+        keys.update(memoryview(r["keys"]).cast("Q").tolist())
+    tokens = [WORD.findall(low(text)) + [None] for _, text in all_rows]
+    assert len(keys) == len({p for x in tokens for p in zip(x, x[1:])})
