@@ -16,7 +16,6 @@ columns are never looked at.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -236,22 +235,16 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, text string")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Encode and decode each text; of both, only number and SHA-256 leave the task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for chunk in chunks(batches):
-            ids, bounds = bpe.encode(strings(chunk["text"]).to_pylist())
-            spans = list(zip(bounds.tolist(), bounds[1:].tolist()))
-            yield pa.RecordBatch.from_arrays([
-                chunk["doc_id"].combine_chunks(),
-                pa.array(np.diff(bounds)),
-                pa.array([hashlib.sha256(ids[a:b].data).hexdigest() for a, b in spans]),
-                pa.array([hashlib.sha256(bpe.decode(ids[a:b])).hexdigest() for a, b in spans]),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+def coded(docs: DataFrame, path: str) -> DataFrame:
+    """Per row ``doc_id`` and ``ids``, their number, and the SHA-256 of them and of the text decoded from them."""
+    return decode(encode(docs, path), path).select(
+        "doc_id", "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """What :func:`coded` gives without the ids."""
+    return coded(docs, path).drop("ids")
 
 
 def default_vocabulary() -> str:

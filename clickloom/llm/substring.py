@@ -25,13 +25,13 @@ an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.llm.packed import PACKED, Layout, Packer, among, answered, pack, sharded, with_answers
 from clickloom.llm.text import Words, find_words, gram_hashes, gram_places, strings
@@ -39,7 +39,8 @@ from clickloom.session import scratch_dir
 
 WINDOW, SEED = 35, 16
 
-_RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+_RESULT = "doc_id bigint, n_words bigint, removed array<struct<begin: bigint, end: bigint>>, text string"
+_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
 def window_seeds(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -196,24 +197,27 @@ def extend(passages: np.ndarray, ids: np.ndarray, begin: int, where: int) -> tup
 
 
 def cut(docs: DataFrame, passages: DataFrame, layout: Layout) -> DataFrame:
-    """Per document its words, the number removed, and the SHA-256 of those kept."""
+    """Per document its number of words, the removed spans of them, and the text of those kept."""
     def run(_shard: int, keys: np.ndarray, _, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         for table, words, gone in spans_to_remove(tables, keys):
             raw, first = words.data.tobytes(), words.first.tolist()
-            removed = np.append(0, np.cumsum(gone))[words.first]
-            digests = []
+            removed, kept = [], []
             for a, b in zip(first, first[1:]):
+                begin, end = runs_of(gone[a:b])
+                removed.append([{"begin": x, "end": y} for x, y in zip(begin.tolist(), end.tolist())])
                 own = ~gone[a:b]
                 spans = zip(words.start[a:b][own].tolist(), words.end[a:b][own].tolist())
-                digests.append(hashlib.sha256(b" ".join([raw[s:e] for s, e in spans])).hexdigest())
+                kept.append(b" ".join([raw[s:e] for s, e in spans]))
             yield pa.RecordBatch.from_arrays(
-                [table["doc_id"].combine_chunks(), pa.array(np.diff(words.first)), pa.array(np.diff(removed)), pa.array(digests)],
-                ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                [table["doc_id"].combine_chunks(), pa.array(np.diff(words.first)), pa.array(removed, _SPANS),
+                 pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "removed", "text"])
 
     return with_answers(docs, passages, layout, run, _RESULT)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def cleaned(docs: DataFrame) -> DataFrame:
+    """Per row ``doc_id``, ``n_words``, ``removed`` and ``text``: the spans [begin, end) of words that repeat, and
+    the other words with one space between."""
     spark = docs.sparkSession
     layout = Layout.of(docs)
     rows = sharded(docs, layout)
@@ -224,5 +228,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return cut(rows, passages, layout)
 
 
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """Per row of :func:`cleaned` its words, the number removed, and the SHA-256 of the text kept."""
+    gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, span: n + span["end"] - span["begin"])
+    return cleaned(docs).select("doc_id", "n_words", gone.alias("n_removed"),
+                                F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -31,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the check of decoding them."""
-    return bpe.digests(docs, bpe.default_vocabulary())
+    return bpe.coded(docs, bpe.default_vocabulary())
 
 
 STAGES = [

@@ -48,3 +48,10 @@ def test_stages(spark):
     for r in frames[-1].collect():
         ids = library.encode(mixed[r.doc_id], add_special_tokens=False).ids
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_the_last_stage_returns_the_ids(spark):
+    docs = spark.createDataFrame([(1, "Hello, the World"), (2, None)], "doc_id bigint, text string")
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    want = {1: library.encode("Hello, the World", add_special_tokens=False).ids, 2: []}
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.encode(spark, docs, FOLDER).collect()} == want

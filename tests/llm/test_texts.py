@@ -233,3 +233,11 @@ def test_pairs_reach_their_slice_and_come_back(spark, documents, all_rows):
         keys.update(memoryview(r["keys"]).cast("Q").tolist())
     tokens = [WORD.findall(low(text)) + [None] for _, text in all_rows]
     assert len(keys) == len({p for x in tokens for p in zip(x, x[1:])})
+
+
+def test_substring_dedup_gives_the_texts_and_spans(documents):
+    passage = words(40, 1)
+    texts = {1: words(10, 2) + passage + words(5, 3), 2: passage + words(7, 4), 3: words(60, 5)}
+    got = {r.doc_id: r for r in substring.cleaned(documents(*[(i, " \n".join(w)) for i, w in texts.items()])).collect()}
+    assert {i: [tuple(x) for x in r.removed] for i, r in got.items()} == {1: [(10, 50)], 2: [(0, 40)], 3: []}
+    assert {i: r.text for i, r in got.items()} == {1: " ".join(texts[1][:10] + texts[1][50:]), 2: " ".join(texts[2][40:]), 3: " ".join(texts[3])}
