@@ -111,7 +111,7 @@ def test_documents_by_day(lines, folder):
     for file in Path(path).glob("date=*/*.json"):
         found[file.parent.name] = [json.loads(line) for line in file.read_text().splitlines()]
     assert set(found) == {"date=2015-06-10", "date=N%2FA"}
-    assert found["date=2015-06-10"][0]["country"] == "Sweden"
+    assert found["date=2015-06-10"][0]["country"] == "Finland"
 
 
 def test_pattern_documents(lines, folder):
@@ -120,8 +120,8 @@ def test_pattern_documents(lines, folder):
                            F.lit(SAMPLE["t"]))
     read = {name: [json.loads(line) for file in sorted(Path(path, name).glob("*.json"))
                    for line in file.read_text().splitlines()] for name in jobs.PATTERNS}
-    assert read["query1"] == [{"@timestamp": "2015-06-10", "hour": "10", "counter": 3}]
-    assert [d["timezone"] for d in read["query2"]] == ["Europe/Stockholm", "UTC"]
+    assert read["query1"] == [{"@timestamp": "2015-06-10", "hour": "07", "counter": 3}]
+    assert [d["timezone"] for d in read["query2"]] == ["Europe/Helsinki", "UTC"]
     assert read["query3"] == read["query1"]
 
 
