@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import bpe, chat, exact, lm, mixing, neardup, prefix, quality, substring, warc
+from clickloom.llm import bpe, chat, exact, lm, mixing, neardup, prefix, quality, resample, substring, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -15,10 +15,12 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op7_exact_dedup": exact.op7_exact_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_resample": resample.op11_resample,
 }
 
 ORACLE_SQL = {
     "op2_chat": chat.OP2_SQL,
     "op3_warc": warc.OP3_SQL,
     "op7_exact_dedup": exact.OP7_SQL,
+    "op11_resample": resample.OP11_SQL,
 }
