@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import align, bpe, chat, exact, lm, mixing, neardup, prefix, quality, resample, substring, warc
+from clickloom.llm import align, bpe, chat, exact, lm, mixing, neardup, prefix, quality, resample, substring, toxicity, warc
 
 QUERIES = {
     "op1_near_dedup": neardup.op1_near_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_resample": resample.op11_resample,
     "op12_align": align.op12_align,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 ORACLE_SQL = {
