@@ -21,7 +21,9 @@ never looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -38,6 +40,8 @@ from clickloom.session import scratch_dir
 CHUNK_BYTES = 1_000_000
 #: More pairs than these are not broadcast; a pair takes some 40 bytes there.
 BROADCAST_PAIRS = 1_000_000
+#: Letters up to Latin Extended-B, the same in all versions of Unicode since 5.0.
+OLD = re.compile("[\x00-\u024f]*")
 #: Fixed value: the mark of a space in pieces.
 SPACE = "▁"
 
@@ -49,10 +53,16 @@ def default_vocabularies() -> tuple[str, str]:
 
 
 class ByteLevel:
-    """A byte-level vocabulary of the tokenizers library; it encodes a space and the text."""
+    """A byte-level vocabulary of the tokenizers library; it encodes a space and the text.
+
+    Where merges come in the order of the ids they make, the tiktoken library gives the same ids several times faster. It
+    takes the texts whose letters are all older than any difference in what the two libraries call a letter.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import public_tokenizers
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -65,9 +75,20 @@ class ByteLevel:
         for text, i in vocab.items():
             # an added token's string is no byte-level text and never comes out here
             self.pieces[i] = bytes(byte_of[c] for c in text) if all(c in byte_of for c in text) else text.encode()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
+        made = [vocab[a + b] for a, b in pairs]
+        own = {i for i in vocab.values() if i not in self.model.get_added_tokens_decoder()}
+        self.fast = None
+        if made == sorted(set(made)) and len(own) == len(made) + 256 and min(made, default=256) == 256:
+            self.fast = Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                 mergeable_ranks={self.pieces[i]: i for i in own})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        plain = [self.fast is not None and OLD.fullmatch(t) is not None for t in texts]
+        rest = iter(self.model.encode_batch_fast([f" {t}" for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        return [self.fast.encode_ordinary(f" {t}") if p else next(rest).ids for t, p in zip(texts, plain)]
 
 
 class Pieces:

@@ -1,6 +1,7 @@
 """Alignment of two vocabularies against a plain version."""
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -108,3 +109,15 @@ def test_one_long_group_has_few_links():
     assert len(la) == len(a) + len(b) - 3
     side = np.repeat([0, 1], [len(a) - 1, len(b) - 1])
     assert align.groups(np.append(a[:-1], b[:-1]), np.append(a[1:], b[1:]), side).max() == 0
+
+
+def test_both_libraries_give_the_same_ids():
+    vocabulary, chooser = align.vocabulary(A), random.Random(5)
+    assert vocabulary.fast is not None
+    signs = [chr(c) for c in range(0x250)] + list(" \n\t'sre012") * 40
+    texts = ["".join(chooser.choices(signs, k=chooser.randrange(1, 300))) for _ in range(4000)]
+    library = vocabulary.model.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
+    assert all(align.OLD.fullmatch(t) for t in texts)
+    assert vocabulary.encode(texts) == [e.ids for e in library]
+    mixed = [*texts[:5], "漢字 𐐷", "x", "ʼn ɐ"]
+    assert vocabulary.encode(mixed) == [e.ids for e in vocabulary.model.encode_batch([f" {t}" for t in mixed], add_special_tokens=False)]
