@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,16 +20,18 @@ from clickloom.plans import dashboards, jobs, payloads, reads
 from clickloom.schema import CLICK, COUNT_KEYS, UNITS, count_table
 from clickloom.session import scratch_dir
 from clickloom.sinks.documents import write_documents, write_lines
+from clickloom.sinks.store import TableStore
 from clickloom.sinks.tables import write_table
 from clickloom.sources.derived import derived_clicks, derived_lines
 from clickloom.sources.lines import click_lines, parse_clicks, register_events
 from clickloom.sources.serving import first_clicks, latest_day, read_table
 from clickloom.streaming.counts import read_live, windowed_counts
 from clickloom.streaming.dedup import ids_once
-from clickloom.streaming.feed import timed_clicks
+from clickloom.streaming.feed import line_feed, timed_clicks
 from clickloom.streaming.pipeline import close_days, start_documents
 from clickloom.streaming.replay import Replay, deliver
 from clickloom.streaming.run import append_files, append_live, state_partitions
+from clickloom.streaming.tables import LIVE_COUNTS, batch_tables, start_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -299,6 +302,49 @@ def stream_raw(spark: SparkSession, tables: str) -> DataFrame:
     return reads.daily_counters(read_table(spark, root, "raw_clicks"))
 
 
+_stores: dict[tuple[str, str], str] = {}
+
+
+def _store(spark: SparkSession, tables: str) -> TableStore:
+    """All live tables after the replay, a file a batch: filled by one query, once per application."""
+    key = (spark.sparkContext.applicationId, tables)
+    if key not in _stores:
+        root = scratch_dir(spark, "store")
+        feed = line_feed(spark, _replay(spark, tables).path, max(1, _replay(spark, tables).files // 4))
+        start_tables(spark, feed, f"{root}/tables", f"{root}/state", fanout=3).awaitTermination()
+        _stores[key] = f"{root}/tables"
+    return TableStore(spark, _stores[key])
+
+
+def stream_tables(spark: SparkSession, tables: str) -> DataFrame:
+    """Every row of every live table."""
+    store, columns = _store(spark, tables), ["date", "time", "country_code", "domain", "event", "id", "clicks"]
+    parts = []
+    for table in [*LIVE_COUNTS, "raw_clicks", "click_ids"]:
+        rows = store.read(table)
+        kinds = {"clicks": "bigint"}
+        parts.append(rows.select(F.lit(table).alias("table"), *[
+            F.col(name) if name in rows.columns else F.lit(None).cast(kinds.get(name, "string")).alias(name)
+            for name in columns]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def compacted_minutes(spark: SparkSession, tables: str) -> DataFrame:
+    """The live domain minutes, after the last batch has been given to the store once more."""
+    store = _store(spark, tables)
+    store.commit(store.state().batch, batch_tables(derived_lines(spark, tables)))
+    return store.read("domain_minutes")
+
+
+def _stored_read(read: Callable[..., DataFrame], table: str) -> Query:
+    """A dashboard read of the newest day of a live table, found in the manifest."""
+    def query(spark: SparkSession, tables: str) -> DataFrame:
+        store = _store(spark, tables)
+        day = store.latest_day(table) or ""
+        return read(store.read(table, day), day)
+    return query
+
+
 _closed: dict[tuple[str, str], str] = {}
 
 
@@ -397,6 +443,12 @@ def catalog() -> dict[str, Query]:
         **{f"closed_{table}": _closed_table(table)
            for table in ("domain_minutes", "country_minutes", "raw_clicks", "click_ids")},
         "stream_raw_by_day": stream_raw,
+        "stream_all_tables": stream_tables,
+        "compacted_live_minutes": compacted_minutes,
+        "stream_top_countries": _stored_read(reads.top_countries, "country_minutes"),
+        "stream_top_domains": _stored_read(reads.top_domains, "domain_seconds"),
+        "stream_domain_evolution": _stored_read(
+            lambda counts, day: reads.domain_evolution(counts, reads.busiest_domain(counts), day), "domain_minutes"),
     }
 
 

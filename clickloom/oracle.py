@@ -182,6 +182,22 @@ def _table_sizes() -> str:
     return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
 
 
+def _all_tables() -> str:
+    """Every row of the nine count tables, of the raw lines and the ids."""
+    parts = []
+    for subject, keys in _KEYS.items():
+        present = " AND ".join(f"{key} IS NOT NULL" for key in keys)
+        shown = ", ".join(key if key in keys else f"NULL::VARCHAR AS {key}" for key in ("country_code", "domain"))
+        for unit, fmt in _FORMATS.items():
+            parts.append(f"SELECT '{subject}_{unit}' AS \"table\", {_time('t', _DAY)} AS date, {_time('t', fmt)} AS time, "
+                         f"{shown}, NULL::VARCHAR AS event, NULL::VARCHAR AS id, count(*) AS clicks FROM keyed "
+                         f"WHERE {present} GROUP BY ALL")
+    parts.append("SELECT DISTINCT 'raw_clicks', date, NULL, NULL, NULL, event, NULL, NULL::BIGINT FROM raw")
+    parts.append(f"SELECT DISTINCT 'click_ids', {_time('t', _DAY)}, NULL, NULL, NULL, NULL, _id, NULL::BIGINT "
+                 "FROM parsed WHERE t IS NOT NULL")
+    return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
+
+
 def _payload(name: str, description: str, results: str, extra: str = "''") -> str:
     head = f'{{"name_query":"{name}","description":"{description}"'
     return f"concat('{head}', {extra}, ',\"results\":[', {results}, ']}}') AS payload"
@@ -326,11 +342,23 @@ def oracle_sql() -> dict[str, str]:
         **{f"stream_{subject}_{unit}": _stream(keys, _FORMATS[unit])
            for subject, keys in _KEYS.items() for unit in ("seconds", "minutes")},
         "stream_raw_by_day": _sql(daily, _raw()),
+        "stream_all_tables": _all_tables(),
+        "stream_top_countries": _sql(
+            f"SELECT country_code, clicks, {_country('country_code')} AS country FROM (SELECT country_code, "
+            f"CAST(sum(clicks) AS BIGINT) AS clicks FROM counts WHERE date = {newest} GROUP BY ALL "
+            "ORDER BY clicks DESC, country_code LIMIT 30) s", _parsed(), _counts(["country_code"], _MINUTE, "parsed")),
+        "stream_top_domains": _sql(
+            "SELECT domain, CAST(sum(clicks) AS BIGINT) AS clicks FROM counts "
+            f"WHERE date = {newest} GROUP BY ALL", _parsed(), _counts(["domain"], _SECOND, "parsed")),
+        "stream_domain_evolution": _sql(
+            f"SELECT * FROM counts WHERE date = {newest} AND domain = (SELECT domain FROM counts WHERE date = {newest} "
+            "GROUP BY domain ORDER BY sum(clicks) DESC, domain LIMIT 1)", _parsed(), _counts(["domain"], _MINUTE, "parsed")),
     }
     sql.update(_payloads())
     sql["export_files"] = sql["export_clicks"]
     sql["stream_dedup_clicks"] = sql["closed_click_ids"] = sql["click_ids"]
     sql["closed_domain_minutes"] = sql["stream_domain_minutes"]
+    sql["compacted_live_minutes"] = sql["stream_domain_minutes"]
     sql["closed_country_minutes"] = sql["stream_country_minutes"]
     sql["closed_raw_clicks"] = _sql("SELECT DISTINCT date, event FROM raw", _raw())
     sql["stream_enrich_docs"] = sql["enrich_docs"]

@@ -56,3 +56,38 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; one that isn't there is fine."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on whatever file system it is; none if it isn't there."""
+    files, place = _place(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    files, place = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that readers see as a whole or not at all: written aside, then renamed."""
+    files, place = _place(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(aside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if not files.rename(aside, place):
+        files.delete(aside, False)
+        raise FileExistsError(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,6 +39,12 @@ def append_files(df: DataFrame, path: str, checkpoint: str, every: str | None =
     return writer.option("path", path).partitionBy("date").start()
 
 
+def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+                  every: str | None = None) -> StreamingQuery:
+    """Each batch given to ``write`` with its number; the same number comes again after a failure."""
+    return _writer(df, checkpoint, every).foreachBatch(write).start()
+
+
 def append_live(counts: DataFrame, path: str, checkpoint: str,
                 every: str | None = None) -> StreamingQuery:
     """Changed counts of every batch, in a folder per day and batch.
