@@ -25,18 +25,24 @@ from clickloom.sinks.tables import write_table
 from clickloom.sources.derived import derived_clicks, derived_lines
 from clickloom.sources.lines import click_lines, parse_clicks, register_events
 from clickloom.sources.serving import first_clicks, latest_day, read_table
-from clickloom.streaming.counts import read_live, windowed_counts
+from clickloom.sources.spool import spool_feed
+from clickloom.streaming.counts import read_live, sliding_counts, windowed_counts
+from clickloom.streaming.daily import daily_totals, line_counter
 from clickloom.streaming.dedup import ids_once
 from clickloom.streaming.feed import line_feed, timed_clicks
+from clickloom.streaming.late import counted_lines, late_lines, newest_counts
 from clickloom.streaming.pipeline import close_days, start_documents
-from clickloom.streaming.replay import Replay, deliver
-from clickloom.streaming.run import append_files, append_live, state_partitions
+from clickloom.streaming.replay import Replay, deliver, deliver_in_steps
+from clickloom.streaming.report import RunReport, observed, totals
+from clickloom.streaming.run import append_files, append_live, keep_running, start_batches, state_partitions
 from clickloom.streaming.tables import LIVE_COUNTS, batch_tables, start_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Run time of the batch job in the registered queries: 2024-02-01 12:34:56 UTC.
 RUN_EPOCH = 1706790896
+#: Slices of the replay with late lines.
+LATE_SLICES = 4
 #: Period of the period total: the whole of January 2024.
 PERIOD = (1704067200, 1706745600)
 
@@ -345,6 +351,60 @@ def _stored_read(read: Callable[..., DataFrame], table: str) -> Query:
     return query
 
 
+def spool_minutes(spark: SparkSession, tables: str) -> DataFrame:
+    """Domain minutes from a spool by byte offsets, by a query that ends and starts again between deliveries."""
+    root = scratch_dir(spark, "spool")
+    for _ in deliver_in_steps(derived_lines(spark, tables), f"{root}/spool", 2, _again()):
+        lines = spool_feed(spark, f"{root}/spool", range_bytes=1 << 20)
+        keep_running(lambda lines=lines: start_batches(
+            lines, lambda batch, n: TableStore(spark, f"{root}/tables").commit(n, {
+                "domain_minutes": count_table_of(parse_clicks(click_lines(batch), "t", "u"), "domain", "minute")}),
+            f"{root}/state"))
+    return TableStore(spark, f"{root}/tables").read("domain_minutes")
+
+
+def _again() -> Column:
+    """Clicks that the derived lines deliver twice."""
+    return F.get_json_object("event", "$._id").try_cast("bigint") % 20 == 0
+
+
+def stream_daily(spark: SparkSession, tables: str) -> DataFrame:
+    """Different lines per day: closed days by chained stateful steps, open ones from raw lines."""
+    replay, root = _replay(spark, tables), scratch_dir(spark, "stream-daily")
+    with _small_state(spark, replay):
+        closed = append_files(line_counter(replay.feed(spark), replay.delay), f"{root}/closed", f"{root}/state")
+    closed.awaitTermination()
+    done = spark.read.schema("part int, clicks bigint, date string").parquet(f"{root}/closed")
+    return daily_totals(done, _store(spark, tables).read("raw_clicks"))
+
+
+def stream_late(spark: SparkSession, tables: str) -> DataFrame:
+    """Second deliveries that come a slice too late for a count with a delay of ten minutes."""
+    root = scratch_dir(spark, "stream-late")
+    for _ in deliver_in_steps(derived_lines(spark, tables), f"{root}/landing", LATE_SLICES, _again()):
+        lines = line_feed(spark, f"{root}/landing")
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            counts = append_live(counted_lines(lines, "10 minutes"), f"{root}/counted", f"{root}/state")
+        raw = append_files(raw_by_day(lines), f"{root}/raw_clicks", f"{root}/raw-state")
+        counts.awaitTermination()
+        raw.awaitTermination()
+    counted = spark.read.schema("time string, digest string, clicks bigint, date string, batch bigint").parquet(f"{root}/counted")
+    return late_lines(read_table(spark, root, "raw_clicks"), newest_counts(counted))
+
+
+def run_report(spark: SparkSession, tables: str) -> DataFrame:
+    """Lines and clicks of a whole run, added up from its batches."""
+    replay, root, report = _replay(spark, tables), scratch_dir(spark, "stream-report"), RunReport()
+    spark.streams.addListener(report)
+    try:
+        query = append_files(raw_by_day(observed(replay.feed(spark))), f"{root}/raw", f"{root}/state")
+        query.awaitTermination()
+        report.wait(query)
+    finally:
+        spark.streams.removeListener(report)
+    return totals(report.rows(spark)).select("lines", "clicks")
+
+
 _closed: dict[tuple[str, str], str] = {}
 
 
@@ -444,6 +504,11 @@ def catalog() -> dict[str, Query]:
            for table in ("domain_minutes", "country_minutes", "raw_clicks", "click_ids")},
         "stream_raw_by_day": stream_raw,
         "stream_all_tables": stream_tables,
+        "stream_spool_minutes": spool_minutes,
+        "stream_daily_counter": stream_daily,
+        "stream_late_lines": stream_late,
+        "stream_sliding_minutes": lambda s, d: sliding_counts(_store(s, d).read("domain_minutes"), 5),
+        "stream_run_report": run_report,
         "compacted_live_minutes": compacted_minutes,
         "stream_top_countries": _stored_read(reads.top_countries, "country_minutes"),
         "stream_top_domains": _stored_read(reads.top_domains, "domain_seconds"),

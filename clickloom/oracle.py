@@ -198,6 +198,28 @@ def _all_tables() -> str:
     return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
 
 
+def _late(slices: int = 4, delay: int = 600) -> str:
+    """Second deliveries whose minute had ended ``delay`` seconds before the newest click of the slices delivered earlier."""
+    return _sql(f"""
+SELECT {_time('t', _DAY)} AS date, {_time('t', _MINUTE)} AS time, event, 1 AS clicks
+FROM parts JOIN reach USING (part) WHERE CAST(_id AS BIGINT) % 20 = 0 AND (t // 60 + 1) * 60 <= newest - {delay}""",
+                _parsed(), f"""
+bounds AS (SELECT min(t) AS first, (max(t) - min(t)) // {slices} + 1 AS width FROM parsed),
+parts AS (SELECT DISTINCT event, t, _id, (t - first) // width AS part FROM bounds, (SELECT event,
+    CAST(json_extract_string(j, '$.t') AS BIGINT) AS t, json_extract_string(j, '$._id') AS _id
+  FROM (SELECT event, CASE WHEN json_valid(event) THEN event::JSON END AS j FROM lines
+        WHERE contains(event, '"h":'))) WHERE t IS NOT NULL),
+reach AS (SELECT part, max(max(t)) OVER (ORDER BY part) AS newest FROM parts GROUP BY part)""")
+
+
+def _sliding(length: int) -> str:
+    """Every window of some minutes with a click in it, by its first minute."""
+    start = "(m - back) * 60"
+    return _sql(f"SELECT {_time(start, _DAY)} AS date, domain, {_time(start, _MINUTE)} AS time, count(*) AS clicks "
+                f"FROM (SELECT domain, t // 60 AS m, unnest(range({length})) AS back FROM keyed WHERE domain IS NOT NULL) "
+                "GROUP BY ALL", _parsed(), _keyed("parsed"))
+
+
 def _payload(name: str, description: str, results: str, extra: str = "''") -> str:
     head = f'{{"name_query":"{name}","description":"{description}"'
     return f"concat('{head}', {extra}, ',\"results\":[', {results}, ']}}') AS payload"
@@ -343,6 +365,10 @@ def oracle_sql() -> dict[str, str]:
            for subject, keys in _KEYS.items() for unit in ("seconds", "minutes")},
         "stream_raw_by_day": _sql(daily, _raw()),
         "stream_all_tables": _all_tables(),
+        "stream_daily_counter": _sql(daily, _raw()),
+        "stream_late_lines": _late(),
+        "stream_sliding_minutes": _sliding(5),
+        "stream_run_report": _sql("SELECT count(*) AS lines, count(*) FILTER (contains(event, '\"h\":')) AS clicks FROM lines"),
         "stream_top_countries": _sql(
             f"SELECT country_code, clicks, {_country('country_code')} AS country FROM (SELECT country_code, "
             f"CAST(sum(clicks) AS BIGINT) AS clicks FROM counts WHERE date = {newest} GROUP BY ALL "
@@ -358,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
     sql["export_files"] = sql["export_clicks"]
     sql["stream_dedup_clicks"] = sql["closed_click_ids"] = sql["click_ids"]
     sql["closed_domain_minutes"] = sql["stream_domain_minutes"]
-    sql["compacted_live_minutes"] = sql["stream_domain_minutes"]
+    sql["stream_spool_minutes"] = sql["compacted_live_minutes"] = sql["stream_domain_minutes"]
     sql["closed_country_minutes"] = sql["stream_country_minutes"]
     sql["closed_raw_clicks"] = _sql("SELECT DISTINCT date, event FROM raw", _raw())
     sql["stream_enrich_docs"] = sql["enrich_docs"]

@@ -27,6 +27,24 @@ def windowed_counts(clicks: DataFrame, keys: list[str], unit: str,
                           epoch_unit(start, unit).alias("time"), "clicks")
 
 
+def sliding_counts(panes: DataFrame, length: int, slide: int = 1) -> DataFrame:
+    """Overlapping windows of ``length`` minutes that begin every ``slide`` minutes, from counts per minute.
+
+    The minutes are first summed to panes of one slide each; a pane, not a click, is copied into the windows it is part of. A
+    window has a row if a click lies in it; ``date`` and ``time`` are its beginning. ``length`` is a multiple of ``slide``.
+    """
+    if length % slide:
+        raise ValueError("a window must be made of whole slides")
+    keys = [name for name in panes.columns if name not in ("date", "time", "clicks")]
+    minute = F.unix_seconds(F.try_to_timestamp(F.concat_ws(" ", "date", "time"), F.lit("yyyy-MM-dd HH:mm"))) / 60
+    pane = F.floor(minute / slide).alias("pane")
+    summed = panes.groupBy(*keys, pane).agg(F.sum("clicks").alias("clicks"))
+    starts = F.explode(F.sequence(F.col("pane") - (length // slide - 1), F.col("pane"))).alias("start")
+    windows = summed.select(*keys, starts, "clicks").groupBy(*keys, "start").agg(F.sum("clicks").alias("clicks"))
+    epoch = F.col("start") * slide * 60
+    return windows.select(epoch_unit(epoch, "day").alias("date"), *keys, epoch_unit(epoch, "minute").alias("time"), "clicks")
+
+
 def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
     """The newest count of every key of a live table; counts only grow."""
     rows = spark.read.schema(f"{SERVING_TABLES[table]}, batch bigint").parquet(path)

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -84,3 +85,20 @@ def run_for(queries: Iterable[StreamingQuery], seconds: float, grace: float = 60
     for query in queries:
         if error := query.exception():
             raise error
+
+
+def keep_running(start: Callable[[], StreamingQuery], tries: int = 3, pause: float = 1.0) -> StreamingQuery:
+    """Wait for a query to end; when it fails, start it again from its checkpoint, at most ``tries`` times in all.
+
+    The last failure is raised. A batch that failed is repeated with the same offsets.
+    """
+    for left in reversed(range(tries)):
+        query = start()
+        try:
+            query.awaitTermination()
+            return query
+        except StreamingQueryException:
+            if not left:
+                raise
+            time.sleep(pause)
+    raise ValueError("tries must be at least 1")

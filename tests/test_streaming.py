@@ -225,3 +225,46 @@ def test_bounded_run(spark, landing, folder):
     run_for([query], 1)
     assert not query.isActive
     assert read_live(spark, f"{out}/live", "domain_minutes").first().clicks == 1
+
+
+def test_sliding_windows_from_panes(spark, lines):
+    from clickloom.streaming.counts import sliding_counts
+
+    clicks = parse_clicks(lines(*[click(t=START + s) for s in (0, 30, 60, 290, 301, 86_399)], click(t=START, u="http://b/x")))
+    panes = count_table_of(clicks, "domain", "minute")
+    timed = clicks.withColumn("event_time", F.timestamp_seconds("t"))
+    for length, slide in ((5, 1), (10, 5), (3, 3)):
+        want = windowed_counts(timed, ["domain"], "minute", f"{length} minutes", f"{slide} minutes")
+        assert rows_of(sliding_counts(panes, length, slide)) == rows_of(want)
+    with pytest.raises(ValueError):
+        sliding_counts(panes, 5, 2)
+
+
+def test_daily_counter_of_closed_and_open_days(spark, landing, folder):
+    from clickloom.streaming.daily import daily_totals, line_counter
+
+    out, day = folder(), 86_400
+    landing.add(SAMPLE, SAMPLE, click(_id="2"), '{"_note":1}')
+    landing.add(SAMPLE, click(_id="2"), click(_id="3", t=SAMPLE["t"] + 60))
+    landing.add(click(t=SAMPLE["t"] + 3 * day), click(t=SAMPLE["t"] + 3 * day))
+    append_files(line_counter(feed(spark, landing), "1 hour"), f"{out}/closed", f"{out}/state").awaitTermination()
+    closed = spark.read.schema("part int, clicks bigint, date string").parquet(f"{out}/closed")
+    assert closed.agg(F.sum("clicks")).first()[0] == 3 and {r.date for r in closed.collect()} == {"2015-06-10"}
+    raw = raw_by_day(spark.read.text(str(landing.path)).withColumnRenamed("value", "event"))
+    assert rows_of(daily_totals(closed, raw)) == rows_of(reads.daily_counters(raw))
+
+
+def test_late_lines(spark, landing, folder):
+    from clickloom.streaming.late import counted_lines, late_lines, newest_counts
+
+    out, hour = folder(), 3600
+    landing.add(SAMPLE, SAMPLE)
+    for name in ("new", "newer"):   # Spark judges lateness by the watermark of the batch before
+        landing.add(click(t=SAMPLE["t"] + hour, _id=name))
+    landing.add(SAMPLE, click(_id="late"), click(_id="late"), click(t=SAMPLE["t"] + hour - 60, _id="in time"))
+    append_live(counted_lines(feed(spark, landing), "10 minutes"), f"{out}/counted", f"{out}/state").awaitTermination()
+    counted = newest_counts(spark.read.schema(
+        "time string, digest string, clicks bigint, date string, batch bigint").parquet(f"{out}/counted"))
+    raw = spark.read.text(str(landing.path)).withColumnRenamed("value", "event")
+    late = {(json.loads(r.event)["_id"], r.time, r.clicks) for r in late_lines(raw, counted).collect()}
+    assert late == {(SAMPLE["_id"], "07:08", 1), ("late", "07:08", 2)}
