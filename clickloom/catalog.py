@@ -17,14 +17,15 @@ from clickloom.operators import (
     panel_rows, raw_by_day, rename_fields, roll_up, strip_spaces, to_documents, top, tz_hour_counts,
 )
 from clickloom.plans import dashboards, jobs, payloads, reads
-from clickloom.schema import CLICK, COUNT_KEYS, UNITS, count_table
+from clickloom.plans.periods import period_totals, write_running_sums
+from clickloom.schema import CLICK, COUNT_KEYS, SERVING_TABLES, UNITS, count_table
 from clickloom.session import scratch_dir
 from clickloom.sinks.documents import write_documents, write_lines
 from clickloom.sinks.store import TableStore
-from clickloom.sinks.tables import write_table
+from clickloom.sinks.tables import catalogue, register_tables, write_table
 from clickloom.sources.derived import derived_clicks, derived_lines
-from clickloom.sources.lines import click_lines, parse_clicks, register_events
-from clickloom.sources.serving import first_clicks, latest_day, read_table
+from clickloom.sources.lines import click_lines, parse_clicks, read_events, register_events
+from clickloom.sources.serving import first_clicks, latest_day, point_read, read_table, stored_days
 from clickloom.sources.spool import spool_feed
 from clickloom.streaming.counts import read_live, sliding_counts, windowed_counts
 from clickloom.streaming.daily import daily_totals, line_counter
@@ -140,6 +141,13 @@ def parsed_events(spark: SparkSession, tables: str) -> DataFrame:
     return _flat(_clicks()(spark, tables))
 
 
+def archive_events(spark: SparkSession, tables: str) -> DataFrame:
+    """The events of an archive of compressed text files."""
+    archive = scratch_dir(spark, "archive")
+    derived_lines(spark, tables).write.option("compression", "gzip").text(archive)
+    return _flat(read_events(spark, archive))
+
+
 def events_without_coordinates(spark: SparkSession, tables: str) -> DataFrame:
     return drop_coordinates(_clicks()(spark, tables))
 
@@ -150,10 +158,10 @@ def enriched(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, tables: str) -> DataFrame:
-    """One field of each JSON document, read back from its text."""
-    docs = to_documents(enrich_documents(_clicks()(spark, tables)))
-    return docs.select(*[F.get_json_object("document", f"$.{name}").alias(name)
-                         for name in ("id", "domain", "country", "t")])
+    """Every field of each JSON document, read back from its text."""
+    docs = enrich_documents(_clicks()(spark, tables))
+    read = F.from_json("document", docs.schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread"})
+    return _flat(to_documents(docs).select(read.alias("d")).select("d.*"))
 
 
 # ---- reads --------------------------------------------------------------------------------
@@ -225,11 +233,66 @@ def pattern_documents(spark: SparkSession, tables: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def serving_tables(spark: SparkSession, tables: str) -> DataFrame:
+_served: dict[tuple[str, str], str] = {}
+
+
+def _serving(spark: SparkSession, tables: str) -> str:
+    """The folder of the serving tables after the batch build; built once per application."""
+    key = (spark.sparkContext.applicationId, tables)
+    if key not in _served:
+        root = scratch_dir(spark, "serving")
+        jobs.build_serving(derived_lines(spark, tables), root)
+        _served[key] = root
+    return _served[key]
+
+
+def _long(table: str, rows: DataFrame) -> DataFrame:
+    """A count table, raw lines or ids in the columns of all of them."""
+    columns = ["date", "time", "country_code", "domain", "event", "id", "clicks"]
+    return rows.select(F.lit(table).alias("table"), *[
+        F.col(name) if name in rows.columns else F.lit(None).cast("bigint" if name == "clicks" else "string").alias(name)
+        for name in columns])
+
+
+def serving_sizes(spark: SparkSession, tables: str) -> DataFrame:
     """Rows and clicks of every serving table after the batch build."""
-    root = scratch_dir(spark, "serving")
-    jobs.build_serving(derived_lines(spark, tables), root)
-    return jobs.table_sizes(spark, root)
+    return jobs.table_sizes(spark, _serving(spark, tables))
+
+
+def serving_tables(spark: SparkSession, tables: str) -> DataFrame:
+    """Every row of the serving tables after the batch build, but for the wide events."""
+    root = _serving(spark, tables)
+    return reduce(DataFrame.unionByName, [_long(table, read_table(spark, root, table))
+                                          for table in SERVING_TABLES if table != "full_events"])
+
+
+def serving_events(spark: SparkSession, tables: str) -> DataFrame:
+    """The wide events after the batch build."""
+    return read_table(spark, _serving(spark, tables), "full_events")
+
+
+def serving_catalogue(spark: SparkSession, tables: str) -> DataFrame:
+    """Days and rows of the serving tables, read through a database they are registered in."""
+    root = _serving(spark, tables)
+    database = f"clickloom_{root.rsplit('-', 1)[1]}"
+    register_tables(spark, database, root)
+    return catalogue(spark, database)
+
+
+def domain_point(spark: SparkSession, tables: str) -> DataFrame:
+    """The busiest domain's minutes of the newest stored day, found without reading other days."""
+    root = _serving(spark, tables)
+    return point_read(spark, root, "domain_minutes", reads.busiest_domain(read_table(spark, root, "domain_minutes")))
+
+
+def totals_of_periods(spark: SparkSession, tables: str) -> DataFrame:
+    """Clicks of one period per fiftieth click: it starts in the click's minute and lasts up to two weeks."""
+    clicks, root = derived_clicks(spark, tables), scratch_dir(spark, "periods")
+    write_running_sums(clicks, root)
+    number = F.col("_id").try_cast("bigint")
+    start = (F.col("t") - F.pmod("t", F.lit(60))).alias("start")
+    periods = clicks.where((number % 50 == 1) & F.col("t").isNotNull()).select("_id", start, (number * 7 % 20_000 * 60).alias("long"))
+    return period_totals(spark, root, periods.select("_id", "start", (F.col("start") + F.col("long")).alias("end")))
 
 
 def _read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -239,11 +302,10 @@ def _read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def document_files(spark: SparkSession, tables: str) -> DataFrame:
-    """Enriched documents written as JSON by day, counted per day after reading back."""
+    """Enriched documents written as JSON by day, read back whole with their day."""
     out = scratch_dir(spark, "documents")
     write_documents(enrich_documents(_clicks()(spark, tables)), out)
-    return _read_documents(spark, out).groupBy("date").agg(F.count(F.lit(1)).alias("documents"),
-                                    F.count("id").alias("ids"))
+    return _flat(_read_documents(spark, out))
 
 
 def export_files(spark: SparkSession, tables: str) -> DataFrame:
@@ -324,15 +386,9 @@ def _store(spark: SparkSession, tables: str) -> TableStore:
 
 def stream_tables(spark: SparkSession, tables: str) -> DataFrame:
     """Every row of every live table."""
-    store, columns = _store(spark, tables), ["date", "time", "country_code", "domain", "event", "id", "clicks"]
-    parts = []
-    for table in [*LIVE_COUNTS, "raw_clicks", "click_ids"]:
-        rows = store.read(table)
-        kinds = {"clicks": "bigint"}
-        parts.append(rows.select(F.lit(table).alias("table"), *[
-            F.col(name) if name in rows.columns else F.lit(None).cast(kinds.get(name, "string")).alias(name)
-            for name in columns]))
-    return reduce(DataFrame.unionByName, parts)
+    store = _store(spark, tables)
+    return reduce(DataFrame.unionByName, [_long(table, store.read(table))
+                                          for table in [*LIVE_COUNTS, "raw_clicks", "click_ids"]])
 
 
 def compacted_minutes(spark: SparkSession, tables: str) -> DataFrame:
@@ -416,9 +472,7 @@ def _closed_table(table: str) -> Query:
             root = scratch_dir(spark, "closed")
             raw = raw_by_day(_replay(spark, tables).feed(spark))
             append_files(raw, f"{root}/live/raw_clicks", f"{root}/state").awaitTermination()
-            stored = spark.read.parquet(f"{root}/live/raw_clicks")
-            days = [row.date for row in stored.select("date").distinct().collect()]  # a folder each
-            close_days(spark, f"{root}/live", f"{root}/served", [str(day) for day in days])
+            close_days(spark, f"{root}/live", f"{root}/served", stored_days(spark, f"{root}/live", "raw_clicks"))
             _closed[key] = f"{root}/served"
         return read_table(spark, _closed[key], table)
     return query
@@ -442,6 +496,7 @@ def catalog() -> dict[str, Query]:
         "filter_click_lines": lambda s, d: click_lines(lines(s, d)),
         "clean_lines": lambda s, d: strip_spaces(lines(s, d)),
         "parse_events": parsed_events,
+        "archive_events": archive_events,
         "events_without_coordinates": events_without_coordinates,
         "rename_fields": lambda s, d: _flat(rename_fields(_clicks()(s, d))),
         "enrich_docs": enriched,
@@ -474,6 +529,7 @@ def catalog() -> dict[str, Query]:
         "domain_evolution": evolution,
         "domain_evolution_last40": evolution_last40,
         "domain_evolution_latest": latest_evolution,
+        "domain_point_read": domain_point,
         "envelope_daily_counter": counter_payload,
         "envelope_top_country": country_payload,
         "envelope_evolution": evolution_payload,
@@ -485,6 +541,8 @@ def catalog() -> dict[str, Query]:
         "top20_timezones": lambda s, d: dashboards.top_timezones(_documents(s, d)),
         "top50_domains": lambda s, d: dashboards.top_document_domains(_documents(s, d)),
         "geo_heatmap": lambda s, d: dashboards.geo_heatmap(_documents(s, d)),
+        "geo_pyramid": lambda s, d: dashboards.geo_pyramid(_documents(s, d)),
+        "period_totals": totals_of_periods,
         "known_vs_new": lambda s, d: dashboards.known_vs_new(_documents(s, d)),
         "batch_histogram": lambda s, d: dashboards.batch_histogram(hour_counts(_cube(s, d), _run())),
         "batch_total": lambda s, d: dashboards.batch_total(hour_counts(_cube(s, d), _run())),
@@ -493,6 +551,9 @@ def catalog() -> dict[str, Query]:
         # jobs and sinks
         "pattern_documents": pattern_documents,
         "serving_tables": serving_tables,
+        "serving_sizes": serving_sizes,
+        "serving_full_events": serving_events,
+        "serving_catalogue": serving_catalogue,
         "document_files": document_files,
         "export_files": export_files,
         # streams

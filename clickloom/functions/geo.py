@@ -33,6 +33,12 @@ def geo_cell(lat: Column, lon: Column, precision: int) -> tuple[Column, Column]:
     return _grid(lat, 90, lat_bits), _grid(lon, 180, lon_bits)
 
 
+def coarser_cell(row: Column, column: Column, precision: int, coarse: int) -> tuple[Column, Column]:
+    """The numbers of the ``coarse`` cell around a cell: halving the grid drops a bit."""
+    (lon_bits, lat_bits), (fewer_lon, fewer_lat) = _bits(precision), _bits(coarse)
+    return F.shiftright(row, lat_bits - fewer_lat), F.shiftright(column, lon_bits - fewer_lon)
+
+
 def geohash_of_cell(row: Column, column: Column, precision: int) -> Column:
     """Text of the cell: bits alternate, longitude first, five to a character."""
     lon_bits, lat_bits = _bits(precision)

@@ -97,6 +97,8 @@ docs AS (SELECT {_time('t', '%Y-%m-%dT%H:%M:%SZ')} AS "@timestamp", {_DOMAIN} AS
 _FULL_DOCS = _documents("parsed", "i, k, mc, ll, _corrupt_record, CASE WHEN ll IS NOT NULL THEN "
                         "concat('[', json_extract_string(ll, '$[1]'), ',', "
                         "json_extract_string(ll, '$[0]'), ']') END AS location")
+_FULL_EVENT = ('coalesce(substr("@timestamp", 1, 10), \'N/A\') AS date, * EXCLUDE ("@timestamp", location, domain, country, '
+               "i, k, mc, ll, _corrupt_record, t, url), t AS timestamp, url AS long_url")
 _PANEL_DOCS = _documents("clicks", "lat, lon")
 
 
@@ -182,7 +184,7 @@ def _table_sizes() -> str:
     return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
 
 
-def _all_tables() -> str:
+def _all_rows() -> str:
     """Every row of the nine count tables, of the raw lines and the ids."""
     parts = []
     for subject, keys in _KEYS.items():
@@ -195,7 +197,11 @@ def _all_tables() -> str:
     parts.append("SELECT DISTINCT 'raw_clicks', date, NULL, NULL, NULL, event, NULL, NULL::BIGINT FROM raw")
     parts.append(f"SELECT DISTINCT 'click_ids', {_time('t', _DAY)}, NULL, NULL, NULL, NULL, _id, NULL::BIGINT "
                  "FROM parsed WHERE t IS NOT NULL")
-    return _sql(" UNION ALL ".join(parts), _parsed(), _raw(), _keyed("parsed"))
+    return " UNION ALL ".join(parts)
+
+
+def _all_tables() -> str:
+    return _sql(_all_rows(), _parsed(), _raw(), _keyed("parsed"))
 
 
 def _late(slices: int = 4, delay: int = 600) -> str:
@@ -220,6 +226,15 @@ def _sliding(length: int) -> str:
                 "GROUP BY ALL", _parsed(), _keyed("parsed"))
 
 
+def _catalogue() -> str:
+    """Days and rows of each serving table."""
+    days = f"SELECT *, coalesce({_time('t', _DAY)}, 'N/A') AS date FROM parsed"
+    wide = f"SELECT date, _id FROM ({days}) WHERE _id IS NULL UNION ALL SELECT DISTINCT date, _id FROM ({days}) WHERE _id IS NOT NULL"
+    return _sql(f'SELECT "table", count(DISTINCT date) AS partitions, count(*) AS rows FROM (SELECT "table", date FROM everything '
+                f"UNION ALL SELECT 'full_events', date FROM ({wide})) GROUP BY ALL",
+                _parsed(), _raw(), _keyed("parsed"), f"everything AS ({_all_rows()})")
+
+
 def _payload(name: str, description: str, results: str, extra: str = "''") -> str:
     head = f'{{"name_query":"{name}","description":"{description}"'
     return f"concat('{head}', {extra}, ',\"results\":[', {results}, ']}}') AS payload"
@@ -289,12 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "rename_fields": _sql('SELECT * EXCLUDE ("@timestamp", location, domain, country) FROM docs',
                               _parsed(), _FULL_DOCS),
         "enrich_docs": _sql("SELECT * FROM docs", _parsed(), _FULL_DOCS),
-        "documents_json": _sql("SELECT id, domain, country, CAST(t AS VARCHAR) AS t FROM docs",
-                               _parsed(), _FULL_DOCS),
-        "full_event": _sql(
-            'SELECT coalesce(substr("@timestamp", 1, 10), \'N/A\') AS date, * EXCLUDE ("@timestamp", '
-            "location, domain, country, i, k, mc, ll, _corrupt_record, t, url), t AS timestamp, "
-            "url AS long_url FROM docs", _parsed(), _FULL_DOCS),
+        "full_event": _sql(f"SELECT {_FULL_EVENT} FROM docs", _parsed(), _FULL_DOCS),
         "raw_by_day": _sql("SELECT * FROM raw", _raw()),
         "distinct_lines": _sql("SELECT DISTINCT * FROM raw", _raw()),
         "click_ids": _sql(f"SELECT DISTINCT {_time('t', _DAY)} AS date, _id AS id FROM parsed "
@@ -357,10 +367,19 @@ def oracle_sql() -> dict[str, str]:
             "SELECT \"@timestamp\", NULL::VARCHAR AS timezone, hour, counter, 'query1' AS query FROM hours "
             "UNION ALL SELECT \"@timestamp\", timezone, hour, counter, 'query2' FROM zones "
             "UNION ALL SELECT \"@timestamp\", NULL, hour, counter, 'query3' FROM days"),
-        "serving_tables": _table_sizes(),
+        "serving_tables": _all_tables(),
+        "serving_sizes": _table_sizes(),
+        "serving_full_events": _sql(f"SELECT DISTINCT {_FULL_EVENT} FROM docs WHERE id IS NOT NULL "
+                                    f"UNION ALL SELECT {_FULL_EVENT} FROM docs WHERE id IS NULL", _parsed(), _FULL_DOCS),
+        "serving_catalogue": _catalogue(),
+        "geo_pyramid": _sql(" UNION ALL ".join(
+            f"SELECT {p} AS precision, {_geohash('lat', 'lon', p)} AS cell, count(*) AS clicks FROM docs "
+            "WHERE lat IS NOT NULL GROUP BY ALL" for p in range(1, 8)), _PANEL_DOCS),
+        "period_totals": _sql("SELECT _id, s AS start, e AS \"end\", (SELECT count(*) FROM clicks c WHERE c.t >= s AND c.t < e) "
+                              "AS clicks FROM (SELECT _id, t - t % 60 AS s, t - t % 60 + CAST(_id AS BIGINT) * 7 % 20000 * 60 AS e "
+                              "FROM clicks WHERE CAST(_id AS BIGINT) % 50 = 1 AND t IS NOT NULL)"),
         "document_files": _sql(
-            "SELECT coalesce(substr(\"@timestamp\", 1, 10), 'N/A') AS date, count(*) AS documents, "
-            "count(id) AS ids FROM docs GROUP BY ALL", _parsed(), _FULL_DOCS),
+            "SELECT *, coalesce(substr(\"@timestamp\", 1, 10), 'N/A') AS date FROM docs", _parsed(), _FULL_DOCS),
         **{f"stream_{subject}_{unit}": _stream(keys, _FORMATS[unit])
            for subject, keys in _KEYS.items() for unit in ("seconds", "minutes")},
         "stream_raw_by_day": _sql(daily, _raw()),
@@ -387,5 +406,8 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_spool_minutes"] = sql["compacted_live_minutes"] = sql["stream_domain_minutes"]
     sql["closed_country_minutes"] = sql["stream_country_minutes"]
     sql["closed_raw_clicks"] = _sql("SELECT DISTINCT date, event FROM raw", _raw())
-    sql["stream_enrich_docs"] = sql["enrich_docs"]
+    sql["stream_enrich_docs"] = sql["documents_json"] = sql["enrich_docs"]
+    sql["domain_point_read"] = _sql(f"SELECT * FROM counts WHERE domain = {_BUSIEST} AND date = {newest}",
+                                    _parsed(), _counts(["domain"], _MINUTE, "parsed"))
+    sql["archive_events"] = sql["parse_events"]
     return sql

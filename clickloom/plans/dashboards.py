@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.functions.clock import bucket_date, bucket_time, time_bucket
-from clickloom.functions.geo import geo_cell, geohash_of_cell
+from clickloom.functions.geo import coarser_cell, geo_cell, geohash_of_cell
 from clickloom.operators.filters import with_values
 from clickloom.operators.topk import top
 
@@ -62,6 +62,31 @@ def geo_heatmap(docs: DataFrame, precision: int = 5) -> DataFrame:
     return counted.select(cell.alias("cell"), "clicks")
 
 
+def geo_pyramid(docs: DataFrame, precisions: range = range(1, 8)) -> DataFrame:
+    """Clicks per geohash cell at every zoom: ``precision, cell, clicks``.
+
+    Clicks are counted once, by cells of the finest precision; a coarser cell's numbers are the leading bits of a finer one's, so
+    grouping sets over shifted numbers make all levels from those counts, in one pass.
+    """
+    finest = max(precisions)
+    lon, lat = F.get("location", F.lit(0)), F.get("location", F.lit(1))
+    row, column = geo_cell(lat, lon, finest)
+    counted = (docs.where(lat.isNotNull() & lon.isNotNull()).groupBy(row.alias("row"), column.alias("column"))
+               .agg(F.count(F.lit(1)).alias("clicks")))
+    levels = {}
+    for p in precisions:
+        coarse_row, coarse_column = coarser_cell(F.col("row"), F.col("column"), finest, p)
+        levels |= {f"row{p}": coarse_row, f"column{p}": coarse_column}
+    wide = counted.select("clicks", *[value.alias(name) for name, value in levels.items()])
+    pairs = [[F.col(f"row{p}"), F.col(f"column{p}")] for p in precisions]
+    sums = wide.groupingSets(pairs, *[F.col(name) for name in levels]).agg(F.sum("clicks").alias("clicks"))
+    # a row has numbers of its own level only
+    level = F.coalesce(*[F.when(F.col(f"row{p}").isNotNull(), F.lit(p)) for p in precisions])
+    cell = F.coalesce(*[F.when(F.col(f"row{p}").isNotNull(), geohash_of_cell(F.col(f"row{p}"), F.col(f"column{p}"), p))
+                        for p in precisions])
+    return sums.select(level.alias("precision"), cell.alias("cell"), "clicks")
+
+
 def known_vs_new(docs: DataFrame) -> DataFrame:
     """Clicks of known (1) and new (0) browsers; not every click says which."""
     return _share(docs, "known_user")

@@ -6,12 +6,40 @@ again, or runs twice, leaves the same table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom.operators.dedup import distinct_ids, distinct_lines
 from clickloom.schema import SERVING_TABLES
 
 
+#: Columns by whose single values tables are read: row groups carry a Bloom filter of them.
+POINT_KEYS = {"domain"}
+
+
+def register_tables(spark: SparkSession, database: str, root: str, tables: Iterable[str] = SERVING_TABLES) -> None:
+    """Written tables below ``root`` as tables of a database: each day's folder a partition, with sizes for the optimizer.
+
+    Registering again finds the days written since.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table in tables:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({SERVING_TABLES[table]}) USING parquet "
+                  f"PARTITIONED BY (date) LOCATION '{root}/{table}'")
+        spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
+        spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS")
+
+
+def catalogue(spark: SparkSession, database: str, tables: Iterable[str] = SERVING_TABLES) -> DataFrame:
+    """``table, partitions, rows`` of registered tables, counted by reading through the database."""
+    parts = [spark.table(f"{database}.{table}").agg(
+        F.lit(table).alias("table"), F.count_distinct("date").alias("partitions"), F.count(F.lit(1)).alias("rows"))
+        for table in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def create_tables(spark: SparkSession, database: str, location: str | None = None,
                   reset: bool = False) -> None:
     """Create the serving tables in a database; ``reset`` drops what was there before."""
@@ -32,12 +60,14 @@ def write_table(rows: DataFrame, path: str, sort: list[str] | None = None) -> No
     row group covers, which is what a read of one domain skips by.
     """
     keys = sort or [name for name in rows.columns if name not in ("date", "clicks")]
-    (
+    writer = (
         rows.hint("rebalance", "date")
         .sortWithinPartitions("date", *keys)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date").parquet(path)
     )
+    for name in POINT_KEYS.intersection(rows.columns):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.partitionBy("date").parquet(path)
 
 
 def write_raw_clicks(raw_clicks: DataFrame, path: str) -> None:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.functions.clock import today_unit
+from clickloom.functions.clock import MISSING, today_unit
 from clickloom.schema import SERVING_TABLES
+from clickloom.session import folder_names
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -19,6 +22,23 @@ def latest_day(table: DataFrame) -> Column:
     return days.select(F.max("date")).scalar()
 
 
+def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The days a serving table has folders for, from a listing: no file is opened."""
+    names = folder_names(spark, f"{root}/{table}")
+    return sorted(unquote(name.removeprefix("date=")) for name in names if name.startswith("date="))
+
+
+def point_read(spark: SparkSession, root: str, table: str, domain: str | Column, day: str | None = None) -> DataFrame:
+    """One domain's rows of one stored day, the newest unless given.
+
+    Only the day's folder is listed; within its files, row groups without the domain are passed over by their smallest and
+    greatest value and by their Bloom filter.
+    """
+    if day is None:
+        day = max((d for d in stored_days(spark, root, table) if d != MISSING), default=MISSING)
+    return read_day(read_table(spark, root, table), day, domain)
+
+
 def read_day(table: DataFrame, day: str | Column | None = None,
              domain: str | Column | None = None) -> DataFrame:
     """Rows of one day (today in UTC unless given), and of one domain if asked."""
