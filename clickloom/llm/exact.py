@@ -85,14 +85,27 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The documents that stay, all columns as they came."""
-    kept = (deduplicate(docs, index).filter("kept")
-            .select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_digest")))
+    """The documents that stay, all columns as they came.
+
+    A semi-join finds them, so texts cross a shuffle once. Only where rows are alike in id and text too is one of them picked,
+    among those rows alone.
+    """
+    spark, place = docs.sparkSession, scratch_dir(docs.sparkSession, "kept")
+    state = deduplicate(docs, index)
+    alike = state.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    (alike.filter("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_digest"), "rows")
+     .write.parquet(place))
+    kept = spark.read.parquet(place)
     own = docs.withColumn("__digest", digest_of(F.col("text")))
     same = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("__kept_id"))
             & (F.col("__digest") == F.col("__kept_digest")))
-    return (own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__digest"])
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = own.join(kept.filter("rows = 1"), same, "left_semi").select(*columns)
+    repeated = kept.filter("rows > 1")
+    if repeated.isEmpty():
+        return single
+    one = own.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return single.unionByName(one.select(*columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,18 +6,21 @@
 2. Every document gets the probability of each domain, so it belongs to all of them in part, and its tokens
    count towards each domain in that proportion.
 3. Rates are found by projected gradient descent on the squared distance between expected domain totals and
-   targets, over rates from 0 to ``MOST``. One step is a pass over the documents for the totals (one number
+   targets, over rates of at least 0. One step is a pass over the documents for the totals (one number
    per domain) and the same update in every row. The gradient is scaled by the inverse of the domains' Gram
-   matrix over rates that are not at a bound, damped, so few steps are needed, and starting at rate 1 keeps rates
-   near 1. A target that no rates can meet is missed, by as little as the steps allow, and no rate runs away.
-   A rate after k steps follows from the k vectors before it, so no state is carried between steps.
+   matrix over rates above 0, damped by a part of each domain's own entry, so that a rare domain moves as fast as a
+   common one; a step that makes the miss larger is halved. Starting at rate 1 keeps rates near 1. Steps go on until targets
+   are met or no step brings them nearer; what is still missing then is returned. A rate after k steps follows from the k
+   vectors before it, so no state is carried between steps.
 
 Targets are weights; the total is chosen so that the domain ``keep`` stays at its expected size, so
-its documents keep rates near 1. A document's copies are its rate rounded half up.
+its documents keep rates near 1. A document's copies are its rate rounded up or down by chance, the chance being the
+fraction, drawn from a hash of its id and text; rates within ``NEAR_ONE`` of 1 are one copy. So domains keep their totals in the
+written mix but for that, however alike their documents' rates are.
 
 Defined cases: a null or empty text has no tokens and no words; its posterior is the model's prior
-answer and its rate says nothing about totals; a null doc_id is passed through; repeated rows count each; with no labelled
-documents all domains are equally likely; domains without a target keep weight 0; other columns are
+answer and its rate says nothing about totals; a null doc_id is passed through; repeated rows count each and are rounded
+alike if id and text are equal; with no labelled documents all domains are equally likely; domains without a target keep weight 0; other columns are
 never looked at; an empty table gives an empty result.
 """
 
@@ -27,8 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm.text import chunks, find_words, strings
 from clickloom.session import scratch_dir
@@ -37,11 +41,12 @@ from clickloom.session import scratch_dir
 SAMPLE = 12_000
 BUCKETS = 1 << 15
 EPOCHS, BATCH, LEAST_STEPS, RATE, DECAY = 30, 256, 800, 0.1, 1e-4
-#: Steps of the projected gradient; it stops when the totals are this close.
-STEPS, CLOSE = 25, 1e-6
-#: No document is repeated more often than MOST. The Gram matrix is damped by this part of all tokens, so that a domain
-#: which hardly any document belongs to moves rates slowly, whether its target can be met or not.
-MOST, DAMPING = 3.0, 0.02
+#: Totals this close to their targets are met. The descent ends too when PATIENCE steps together gain less than a thousandth;
+#: STEPS is a stop for the unforeseen, and the miss is returned.
+CLOSE, PATIENCE, STEPS = 1e-6, 4, 200
+#: The part of a domain's own Gram entry that damps its steps.
+DAMPING = 0.05
+NEAR_ONE = 0.05
 
 DOMAINS = ("good", "low", "toxic")
 #: The mix that the query and the pipeline ask for.
@@ -122,63 +127,93 @@ def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray
     return weights
 
 
+def _model(weights: np.ndarray):
+    """Word counts and domain probabilities of the texts of a column, by weights sent with the task."""
+    packed, width = weights.astype("<f4").tobytes(), weights.shape[1]
+
+    def judge(texts: pa.Array) -> list[pa.Array]:
+        model = np.frombuffer(packed, "<f4").reshape(-1, width).astype(float)
+        keys, bounds, tokens = hashed_words(strings(texts))
+        p = softmax(score(model, keys, bounds))
+        return [pa.array(tokens), pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * width), pa.array(p.ravel()))]
+
+    return judge
+
+
+def dice(doc_id: Column, text: Column) -> Column:
+    """A number from 0 to 1, the same for the same id and text."""
+    return (F.pmod(F.xxhash64(doc_id.cast("bigint"), text.cast("string")), F.lit(1 << 24)) + 0.5) / (1 << 24)
+
+
 def posteriors(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Per row doc_id, tokens (words of the whole text) and the probability of each domain."""
-    packed = weights.astype("<f4").tobytes()
-    width = weights.shape[1]
+    """Per row doc_id, dice, tokens (words of the whole text) and the probability of each domain."""
+    judge = _model(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = np.frombuffer(packed, "<f4").reshape(-1, width).astype(float)
         for chunk in chunks(batches):
-            keys, bounds, tokens = hashed_words(strings(chunk["text"]))
-            p = softmax(score(model, keys, bounds))
-            yield pa.RecordBatch.from_arrays([
-                chunk["doc_id"].combine_chunks(), pa.array(tokens),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * width), pa.array(p.ravel()))],
-                ["doc_id", "tokens", "posterior"])
+            yield pa.RecordBatch.from_arrays([chunk["doc_id"].combine_chunks(), chunk["dice"].combine_chunks(), *judge(chunk["text"])],
+                                             ["doc_id", "dice", "tokens", "posterior"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, tokens bigint, posterior array<double>")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), dice(F.col("doc_id"), F.col("text")).alias("dice"),
+                       F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, dice double, tokens bigint, posterior array<double>")
 
 
-def rate_after(steps: list[np.ndarray]):
-    """The rate of a row after the steps so far: each moves along the posterior, then cuts to [0, MOST]."""
+def rate_after(steps: list[np.ndarray], most: float | None = None, posterior: str = "posterior") -> Column:
+    """The rate of a row after the steps so far: each moves along the posterior, then cuts at 0, and at ``most`` if given."""
     if not steps:
         return F.lit(1.0)
     moves = F.array(*[F.array(*[F.lit(float(x)) for x in z]) for z in steps])
     width = len(steps[0])
 
     def step(rate, z):
-        move = sum((F.get("posterior", F.lit(d)) * F.get(z, F.lit(d)) for d in range(width)), F.lit(0.0))
-        return F.least(F.greatest(F.lit(0.0), rate - move), F.lit(MOST))
+        move = sum((F.get(posterior, F.lit(d)) * F.get(z, F.lit(d)) for d in range(width)), F.lit(0.0))
+        moved = F.greatest(F.lit(0.0), rate - move)
+        return moved if most is None else F.least(moved, F.lit(float(most)))
 
     return F.aggregate(moves, F.lit(1.0), step)
 
 
-def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
-    """Steps of projected gradient descent towards the target totals, one small aggregate each."""
+def copies_of(rate: Column, chance: Column) -> Column:
+    """A rate as a number of copies whose expectation it is; rates near 1 are 1."""
+    return F.when(F.abs(rate - 1) <= NEAR_ONE, 1).otherwise(F.floor(rate + chance)).cast("bigint")
+
+
+def fit_rates(rows: DataFrame, targets: np.ndarray, most: float | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Steps of projected gradient descent towards the target totals, one small aggregate each, and the miss that is left."""
     width, steps = len(targets), []
     p = [F.get("posterior", F.lit(d)) for d in range(width)]
     tokens = F.col("tokens").cast("double")
+    past: list[float] = []
+    best: tuple[float, list[np.ndarray], np.ndarray] | None = None
     for _ in range(STEPS):
-        rate = rate_after(steps)
-        state = rows.select(tokens.alias("t"), rate.alias("r"), *[x.alias(f"p{d}") for d, x in enumerate(p)])
-        free = F.when((F.col("r") > 0) & (F.col("r") < MOST), F.col("t")).otherwise(0.0)
+        state = rows.select(tokens.alias("t"), rate_after(steps, most).alias("r"), *[x.alias(f"p{d}") for d, x in enumerate(p)])
+        inside = F.col("r") > 0 if most is None else (F.col("r") > 0) & (F.col("r") < most)
+        free = F.when(inside, F.col("t")).otherwise(0.0)
         sums = state.agg(
-            F.sum("t").alias("all"),
             *[F.sum(F.col("r") * F.col("t") * F.col(f"p{d}")).alias(f"e{d}") for d in range(width)],
             *[F.sum(free * F.col(f"p{d}") * F.col(f"p{e}")).alias(f"g{d}_{e}") for d in range(width) for e in range(d, width)]).first()
-        total = np.array([sums[f"e{d}"] or 0.0 for d in range(width)])
-        miss = total - targets
-        if np.abs(miss).max() <= CLOSE * max(targets.sum(), 1.0):
+        miss = np.array([sums[f"e{d}"] or 0.0 for d in range(width)]) - targets
+        # a rare domain's miss counts against its own target
+        far = float(np.abs(miss / np.maximum(targets, CLOSE * max(targets.sum(), 1.0))).max())
+        if best is not None and far > best[0] and len(past) and past[-1] == best[0]:
+            steps = [*best[1], (steps[-1] / 2)]   # too long a step: half of it
+            past.append(far)
+        else:
+            if best is None or far < best[0]:
+                best = (far, list(steps), miss)
+            past.append(far)
+            gram = np.array([[sums[f"g{min(d, e)}_{max(d, e)}"] or 0.0 for e in range(width)] for d in range(width)])
+            floor = np.maximum(np.diag(gram), 1e-9 * max(np.diag(gram).max(), 1.0))
+            steps = [*steps, np.linalg.solve(gram + DAMPING * np.diag(floor), miss)]
+        if far <= CLOSE or len(past) > PATIENCE and min(past[-PATIENCE:]) > 0.999 * min(past[:-PATIENCE]):
             break
-        gram = np.array([[sums[f"g{min(d, e)}_{max(d, e)}"] or 0.0 for e in range(width)] for d in range(width)])
-        steps.append(np.linalg.solve(gram + DAMPING * max(sums["all"] or 0.0, 1.0) * np.eye(width), miss))
-    return steps
+    return best[1], best[2]
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: str = "good") -> DataFrame:
-    """Per row doc_id, tokens, posterior, rate and copies."""
+def fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], keep: str,
+           most: float | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, DataFrame]:
+    """The classifier's weights, the steps of the rates, the miss left of each target, and the rows with their posteriors."""
     spark, domains = docs.sparkSession, tuple(targets)
     weights = fit_classifier(training_rows(docs, labelled).collect(), domains)  # at most SAMPLE rows
     place = scratch_dir(spark, "posteriors")
@@ -187,8 +222,16 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGET
     at = domains.index(keep)
     size = rows.agg(F.sum(F.get("posterior", F.lit(at)) * F.col("tokens"))).first()[0] or 0.0
     wanted = np.array([targets[d] for d in domains]) / targets[keep] * size
-    rate = rate_after(fit_rates(rows, wanted))
-    return rows.select("*", rate.alias("rate")).withColumn("copies", F.floor(F.col("rate") + 0.5).cast("bigint"))
+    steps, miss = fit_rates(rows, wanted, most)
+    return weights, steps, miss, rows
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: str = "good",
+        most: float | None = None) -> DataFrame:
+    """Per row doc_id, tokens, posterior, rate and copies; no rate is above ``most``, if that is given."""
+    _, steps, _, rows = fitted(docs, labelled, targets, keep, most)
+    rows = rows.withColumn("rate", rate_after(steps, most))
+    return rows.select("doc_id", "tokens", "posterior", "rate", copies_of(F.col("rate"), F.col("dice")).alias("copies"))
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -197,12 +240,26 @@ def domain_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain"))
 
 
-def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: str = "good") -> DataFrame:
-    """The documents as often as their copies say, all columns as they came."""
-    chosen = (mix(docs, labelled, targets, keep).groupBy(F.col("doc_id").alias("__id"))
-              .agg(F.max("copies").cast("int").alias("__copies")).filter(F.col("__copies") > 0))
-    joined = docs.join(chosen, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")))
-    many = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: str = "good",
+                    most: float | None = None) -> DataFrame:
+    """The documents as often as their copies say, all columns as they came.
+
+    A rate follows from a row's own text, so rows are judged where they are: no text is shuffled, and rows that share an id
+    are told apart.
+    """
+    weights, steps, _, _ = fitted(docs, labelled, targets, keep, most)
+    judge = _model(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            columns = [chunk[c].combine_chunks() for c in chunk.column_names]
+            yield pa.RecordBatch.from_arrays([*columns, judge(chunk["text"])[1]], [*chunk.column_names, "__posterior"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("__posterior", T.ArrayType(T.DoubleType()))])
+    judged = docs.mapInArrow(run, schema)
+    times = copies_of(rate_after(steps, most, "__posterior"), dice(F.col("doc_id"), F.col("text")))
+    many = judged.withColumn("__copies", times).where("__copies > 0")
+    many = many.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
     return many.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -40,16 +40,17 @@ ROUNDS = 30
 KEEP_AT = 0.5
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """Counts over each whole text, on its own row."""
+def statistics(docs: DataFrame, **more: Column) -> DataFrame:
+    """Counts over each whole text, on its own row, with ``more`` columns of that row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
+        *[value.alias(name) for name, value in more.items()],
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)).alias("lines"),
         F.split(text, BLANKS).alias("parts"),
     )
     rows = rows.select(
-        "doc_id",
+        *more, "doc_id",
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.array_join("parts", "").alias("squeezed"),
@@ -60,7 +61,7 @@ def statistics(docs: DataFrame) -> DataFrame:
                        F.regexp_replace("squeezed", r"[a-z\p{Ll}]+", "").alias("rest")).drop("squeezed")
     kept = lambda pattern: F.length(F.regexp_replace("rest", pattern, ""))
     rows = rows.select(
-        "doc_id", "word_chars", "n_lines", "n_dup_lines", "words",
+        *more, "doc_id", "word_chars", "n_lines", "n_dup_lines", "words",
         kept(SYMBOLS).cast("bigint").alias("n_symbols"),
         kept(r"[^A-Z\p{Lu}]+").alias("n_upper"),
         (F.col("word_chars") - kept(r"\p{L}+")).alias("n_letters"),
@@ -151,11 +152,11 @@ def posterior(votes: tuple[int, ...], model: dict) -> float:
     return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Per document its statistics, ``base_failed``, ``quality`` (the posterior) and ``kept``."""
+def judge(docs: DataFrame, **more: Column) -> DataFrame:
+    """Per document its statistics, ``base_failed``, ``quality`` (the posterior) and ``kept``, with ``more`` columns of its row."""
     spark, votes, place = docs.sparkSession, rules(), scratch_dir(docs.sparkSession, "statistics")
     # a few numbers per document, written so that each text is read once
-    statistics(docs).select("*", *[v.alias(f"vote_{name}") for name, v in votes.items()]).write.parquet(place)
+    statistics(docs, **more).select("*", *[v.alias(f"vote_{name}") for name, v in votes.items()]).write.parquet(place)
     rows = spark.read.parquet(place)
     names = [f"vote_{name}" for name in votes]
     counted = rows.groupBy(*names).count().collect()  # at most 3 ** len(votes) rows
@@ -171,11 +172,13 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, all columns as they came: judged and filtered row by row."""
-    spark, place = docs.sparkSession, scratch_dir(docs.sparkSession, "kept-ids")
-    judge(docs).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct().write.parquet(place)
-    kept = spark.read.parquet(place)
-    return docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The documents that are kept, all columns as they came: rows are told apart by id and text, not by id alone."""
+    spark, place = docs.sparkSession, scratch_dir(docs.sparkSession, "kept-rows")
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    judged = judge(docs, __digest=digest).filter("kept")
+    judged.select(F.col("doc_id").alias("__kept_id"), F.col("__digest").alias("__kept_digest")).distinct().write.parquet(place)
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__kept_id")) & (digest == F.col("__kept_digest"))
+    return docs.join(spark.read.parquet(place), same, "left_semi")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clickloom.llm import bpe, mixing, quality
+from clickloom.llm import bpe, exact, mixing, quality
 from clickloom.session import scratch_dir
+from tests.llm.conftest import words
 from tests.llm.test_texts import low, shingles
 
 FOLDER = "/root/testdata/sf0.001"
@@ -55,3 +56,20 @@ def test_the_last_stage_returns_the_ids(spark):
     library = Tokenizer.from_file(bpe.default_vocabulary())
     want = {1: library.encode("Hello, the World", add_special_tokens=False).ids, 2: []}
     assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.encode(spark, docs, FOLDER).collect()} == want
+
+
+def test_stages_tell_rows_with_one_id_apart(spark, documents):
+    good, other = (" ".join(f"{w}." if k % 9 == 8 else w for k, w in enumerate(words(120, seed))) for seed in (1, 2))
+    bad = "$$$ !!! ### " * 30
+    docs = documents((1, good), (1, bad), (None, other), (None, bad), (2, good), (2, good), (3, good.upper()), (None, None))
+    kept = quality.good_documents(docs)
+    assert kept.columns == docs.columns
+    left = sorted(r.text for r in kept.collect() if r.doc_id != 3)
+    assert left == sorted([good, other, good, good])
+    folder = scratch_dir(spark, "test-index")
+    unlike = exact.without_copies(docs, exact.DigestIndex(spark, folder))
+    got = sorted(((r.doc_id, r.text) for r in unlike.collect()), key=repr)
+    assert got == sorted([(1, bad), (None, other), (3, good.upper()), (None, None)], key=repr)
+    twice = documents((5, "same words"), (5, "same words"), (4, "SAME words"), (6, "else"))
+    left = exact.without_copies(twice, exact.DigestIndex(spark, scratch_dir(spark, "test-index")))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(5, "same words"), (6, "else")]
