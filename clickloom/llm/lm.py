@@ -7,11 +7,12 @@ each of the marks 1 .. q. A reader probes with 1, 2, ... until a probe fails; th
 holds gives the count back as the middle of its range. A mark that holds by chance makes a pair a
 step too frequent, with the filter's false-positive rate; no mark that was put in is ever missed.
 
-The filter is cut by ranges of keys into one slice per bucket, about ten bits a mark, so it grows with the marks and
-chance hits stay as rare whatever the corpus. A slice is filled and probed where its bucket is: the pairs that a
-shard's documents ask about go to their slices packed, and the marks found come back to the shard. No task and no
-driver ever holds more than one slice. A slice is never probed beyond the highest mark put into it. As most
-pairs have mark 1, it is not sent back: a pair without an answer has it.
+The filter is cut by ranges of keys into one slice per bucket, ten to twenty bits a mark, so it grows with the marks and
+chance hits stay as rare whatever the corpus. Only training pairs are counted, and a bucket's task writes its slice as
+bytes to a table that stays (:func:`train_filter`), to be read again by any later run. A slice is never probed beyond the
+highest mark put into it. Workers get the filter by broadcast and probe it where the texts are, so no pair comes back through a shuffle.
+A filter of more than ``BROADCAST_BYTES`` is not broadcast: there the pairs that a shard asks about go packed to their
+slices, and the marks found come back; both ways give the same marks.
 
 Score of a token w after h: ``a p2(w | h) + (1 - a) p1(w)``, with p1 the base probability and
 p2 = c(h w) / c(h), at most 1; a is ``SHARE`` for frequent h and less for rare ones. The first token of a text
@@ -29,10 +30,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import Layout, among, answered, bucket_of, pack, sharded, unpack, with_answers
+from clickloom.llm.packed import PACKED, Layout, add_up, among, answered, bucket_of, pack, packed_counts, sharded, unpack, with_answers
 from clickloom.llm.text import find_words, mix, strings
 from clickloom.session import scratch_dir
 
@@ -41,6 +43,9 @@ FOLDS, HELD_OUT = 7, 2
 #: Bits of the filter per mark, at least.
 BITS_PER_MARK = 10
 PROBES = 3
+#: A filter of more bytes is not broadcast.
+BROADCAST_BYTES = 512 << 20
+SLICE = "slices int, bucket int, log int, most int, pairs bigint, bits binary"
 #: The part of pairs in a score, and the count of a history at which it has half of it.
 SHARE, HALF = 0.4, 20.0
 
@@ -86,17 +91,18 @@ def count_words(docs: DataFrame, layout: Layout) -> DataFrame:
     return pack(docs, layout, keys_of, whole=True)
 
 
-def count_pairs(docs: DataFrame, layout: Layout) -> DataFrame:
-    """Per shard and bucket the pairs its documents hold, with their counts in training; 0 is a pair only asked for."""
+def count_pairs(docs: DataFrame, layout: Layout, asked: bool = False) -> DataFrame:
+    """Per shard and bucket the pairs that its training documents hold, with their counts; ``asked``: the pairs of all documents."""
     def keys_of(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        train = in_training(chunk["doc_id"].to_pylist())
         tokens, bounds = token_hashes(strings(chunk["text"]))
         used = np.ones(len(tokens), bool)
         used[bounds[:-1]] = False
-        counted = np.repeat(train, np.diff(bounds)).astype(np.int64)
-        return pairs_of(tokens)[used], counted[used], np.append(0, np.cumsum(used))[bounds]
+        if not asked:
+            used &= np.repeat(in_training(chunk["doc_id"].to_pylist()), np.diff(bounds))
+        keys = pairs_of(tokens)[used]
+        return keys, np.ones(len(keys), np.int64), np.append(0, np.cumsum(used))[bounds]
 
-    return pack(docs, layout, keys_of, whole=True)
+    return pack(docs, layout, keys_of, kept=(lambda counts: np.minimum(counts, 1)) if asked else (lambda counts: counts), whole=True)
 
 
 def marks_of(counts: np.ndarray) -> np.ndarray:
@@ -111,9 +117,9 @@ class Shape:
     log: int
 
     @classmethod
-    def of(cls, marks: int, slices: int, max_bits: int | None = None) -> Shape:
+    def of(cls, marks: int, slices: int, max_bits: int | None = None, bits_per_mark: int = BITS_PER_MARK) -> Shape:
         """About ten bits a mark and twenty at most; ``max_bits`` bounds all slices together, if it is given."""
-        log = (BITS_PER_MARK * marks // slices).bit_length()
+        log = (bits_per_mark * marks // slices).bit_length()
         if max_bits is not None:
             log = min(log, (max_bits // slices).bit_length() - 1)
         return cls(slices, max(10, log))
@@ -125,11 +131,15 @@ class Shape:
 
 def positions(keys: np.ndarray, mark: int, shape: Shape) -> Iterator[np.ndarray]:
     """The bits that stand for pairs with a mark, all in the slice of the pair's bucket."""
-    begin = bucket_of(keys, shape.slices) << shape.log
+    return bits_of(keys, mark, bucket_of(keys, shape.slices) << shape.log, shape.log)
+
+
+def bits_of(keys: np.ndarray, mark: int, begin: np.ndarray, log: int | np.ndarray) -> Iterator[np.ndarray]:
+    """The bits of pairs in slices that ``begin`` somewhere and have ``2 ** log`` bits."""
     first = mix(keys + np.uint64(_MARK * mark & 0xFFFFFFFFFFFFFFFF))
-    step = mix(first) | np.uint64(1)
+    step, down = mix(first) | np.uint64(1), np.uint64(64) - np.asarray(log).astype(np.uint64)
     for k in range(PROBES):
-        yield begin + ((first + np.uint64(k) * step) >> np.uint64(64 - shape.log)).astype(np.int64)
+        yield begin + ((first + np.uint64(k) * step) >> down).astype(np.int64)
 
 
 def filled(keys: np.ndarray, marks: np.ndarray, shape: Shape) -> np.ndarray:
@@ -164,16 +174,82 @@ def probed(filter_: np.ndarray, keys: np.ndarray, shape: Shape, most: int | None
     return middle(probed_marks(filter_, keys, shape, most))
 
 
-def through_slice(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The marks of a bucket's distinct pairs as its slice of the filter gives them; those counted 0 are not put in."""
-    held = counts > 0
-    marks = marks_of(counts[held])
-    shape = Shape.of(int(marks.sum()), 1)
-    return probed_marks(filled(keys[held], marks, shape), keys, shape, int(marks.max(initial=0)))
-
+def slices_of(pairs: DataFrame, layout: Layout, bits_per_mark: int = BITS_PER_MARK) -> DataFrame:
+    """The filter of counted pairs, a row per bucket: a slice's size, its highest mark and its bytes."""
+    slices = layout.buckets
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Per row the exact base score and the model's score of the whole text."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts, _ = unpack(table)
+        keys, counts = add_up(keys, counts)
+        marks = marks_of(counts)
+        shape = Shape.of(int(marks.sum()), 1, bits_per_mark=bits_per_mark)
+        return pa.table({"slices": pa.array([slices], pa.int32()), "bucket": table["bucket"].slice(0, 1),
+                         "log": pa.array([shape.log], pa.int32()), "most": pa.array([int(marks.max())], pa.int32()),
+                         "pairs": pa.array([len(keys)], pa.int64()),
+                         "bits": pa.array([filled(keys, marks, shape).tobytes()], pa.binary())})
+
+    return pairs.groupBy("bucket").applyInArrow(run, SLICE)
+
+
+def train_filter(docs: DataFrame, place: str, layout: Layout | None = None, bits_per_mark: int = BITS_PER_MARK) -> DataFrame:
+    """Count the training pairs of the documents and write their filter to ``place``."""
+    layout = layout or Layout.of(docs)
+    slices_of(count_pairs(sharded(docs, layout), layout), layout, bits_per_mark).write.parquet(place)
+    return docs.sparkSession.read.parquet(place)
+
+
+class Filter:
+    """Slices as one array of bytes, as a worker holds and probes them."""
+
+    def __init__(self, table: pa.Table):
+        self.slices = table["slices"][0].as_py() if table.num_rows else 1
+        self.log, self.most = np.zeros(self.slices, np.int64), np.zeros(self.slices, np.int64)
+        self.begin = np.zeros(self.slices, np.int64)
+        at = table["bucket"].to_numpy()
+        size = pc.binary_length(table["bits"]).to_numpy().astype(np.int64)
+        self.log[at], self.most[at] = table["log"].to_numpy(), table["most"].to_numpy()
+        self.begin[at] = 8 * (np.cumsum(size) - size)
+        self.bytes = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_buffer(), np.uint8) for x in table["bits"])])
+
+    def marks(self, keys: np.ndarray) -> np.ndarray:
+        """The highest mark up to which each pair's slice holds all; 0 for a pair it does not hold."""
+        bucket = bucket_of(keys, self.slices)
+        mark, level = np.zeros(len(keys), np.int64), 0
+        open_ = np.flatnonzero(self.most[bucket] > 0)
+        while len(open_):
+            level += 1
+            of = bucket[open_]
+            held = np.ones(len(open_), bool)
+            for bit in bits_of(keys[open_], level, self.begin[of], self.log[of]):
+                held &= (self.bytes[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            open_ = open_[held]
+            mark[open_] = level
+            open_ = open_[self.most[bucket[open_]] > level]
+        return mark
+
+
+def through_slices(asked: DataFrame, slices: DataFrame) -> DataFrame:
+    """Per shard and bucket the pairs asked for with their marks, those whose mark is not 1; pairs meet their slice by bucket."""
+    def run(table: pa.Table, own: pa.Table) -> pa.Table:
+        filter_ = Filter(own)
+        out = []
+        for row in table.to_batches(max_chunksize=1):
+            keys = np.frombuffer(row["keys"][0].as_buffer(), "<u8")
+            mark = filter_.marks(keys)
+            told = mark != 1
+            out.append({"shard": row["shard"][0].as_py(), "bucket": row["bucket"][0].as_py(),
+                        "keys": keys[told].tobytes(), "counts": packed_counts(mark[told]).tobytes()})
+        return pa.Table.from_pylist(out, pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+    return asked.groupBy("bucket").cogroup(slices.groupBy("bucket")).applyInArrow(run, PACKED)
+
+
+def score_documents(docs: DataFrame, place: str | None = None, broadcast_bytes: int = BROADCAST_BYTES,
+                    bits_per_mark: int = BITS_PER_MARK) -> DataFrame:
+    """Per row the exact base score and the model's score of the whole text.
+
+    The filter is written to ``place``, if it is given, and can be read from there afterwards.
+    """
     spark = docs.sparkSession
     layout = Layout.of(docs)
     rows = sharded(docs, layout)
@@ -192,11 +268,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     total = words.groupBy("bucket").applyInArrow(sums, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
     n, v = int(total[0] or 0), int(total[1] or 0)
-    marks = answered(count_pairs(rows, layout), lambda mark: mark != 1, through_slice)
     base = np.log10(n + v + 1.0)
-
-    def run(_shard: int, keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, mark: np.ndarray,
-            tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    slices = train_filter(docs, place or scratch_dir(spark, "filter"), layout, bits_per_mark)
+    size = slices.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+    if size <= broadcast_bytes:
+        filter_, answers = spark.sparkContext.broadcast(Filter(slices.toArrow())), ()
+    else:
+        filter_, answers = None, (through_slices(count_pairs(rows, layout, asked=True), slices),)
+
+    def run(_shard: int, keys: np.ndarray, counts: np.ndarray, *known: np.ndarray) -> Iterator[pa.RecordBatch]:
+        *told, tables = known
         for table in tables:
             ids = table["doc_id"].to_pylist()
             tokens, bounds = token_hashes(strings(table["text"]))
@@ -207,10 +288,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             first[bounds[:-1]] = True
             ask = ~first & (c > 0) & (before > 0)
             both = np.zeros(len(tokens))
-            asked = pairs_of(tokens)[ask]
-            told, found = among(asked, pairs), np.ones(len(asked), np.int64)
-            found[told] = mark[np.searchsorted(pairs, asked[told])]
-            both[ask] = middle(found)
+            both[ask] = middle(filter_.value.marks(pairs_of(tokens)[ask]) if filter_ else told_marks(pairs_of(tokens)[ask], *told))
             share = np.where(first, 0.0, SHARE * before / (before + HALF))
             two = np.minimum(both, np.minimum(before, c)) / np.maximum(before, 1)
             log2 = np.log10(share * two + (1 - share) * 10.0 ** log1)
@@ -221,7 +299,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 pa.array(np.full(len(ids), n)), pa.array(add(log1)), pa.array(add(log2))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return with_answers(rows, words, layout, run, _RESULT, marks)
+    return with_answers(rows, words, layout, run, _RESULT, *answers)
+
+
+def told_marks(asked: np.ndarray, pairs: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The marks of pairs from what came back; a pair without an answer has mark 1."""
+    told, found = among(asked, pairs), np.ones(len(asked), np.int64)
+    found[told] = marks[np.searchsorted(pairs, asked[told])]
+    return found
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Words and their hashes for many texts at once, in numpy.
 
-A word is ``[^\\x20\\x09-\\x0D]+`` over the UTF-8 bytes. Hashes are 64 bits wide: a polynomial over
-the word's bytes modulo 2**64 with an odd base, then a mixer. Every function here works on one
+A word is ``[^\\x20\\x09-\\x0D]+`` over the UTF-8 bytes. Hashes are 64 bits wide: the sum of a mixed
+value of each byte with its place in the word, mixed again. (A polynomial modulo 2**64 would give words made
+for it, such as a Thue-Morse sequence and its mirror, one hash.) Every function here works on one
 chunk of texts inside a task; nothing is kept between chunks.
 """
 
@@ -38,6 +39,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: ``mix(place << 8 | byte)`` for the first places of a word.
+_PLACED = mix(np.arange(64 * 256, dtype=np.uint64))
+
+
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) <= n:
@@ -104,12 +109,21 @@ def find_words(column: pa.Array, lower: bool = False) -> Words:
     edge[at] = True
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    up, down = _powers_to(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    hashes = (sums[end] - sums[start]) * down[start]
-    hashes = mix(hashes + (end - start).astype(np.uint64) * _STEPS[7])
-    return Words(data, start, end, hashes, np.searchsorted(start, at))
+    return Words(data, start, end, word_hashes(data[inside[1:-1]], end - start), np.searchsorted(start, at))
+
+
+def word_hashes(data: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash per word; ``data`` is the bytes of all words end to end, ``size`` how many each has, one at least."""
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    begin = np.cumsum(size) - size
+    place = np.arange(len(data)) - np.repeat(begin, size)
+    near = np.minimum(place, len(_PLACED) // 256 - 1) << 8 | data
+    value = _PLACED[near]
+    far = np.flatnonzero(place >= len(_PLACED) // 256)
+    if len(far):
+        value[far] = mix(place[far].astype(np.uint64) << np.uint64(8) | data[far])
+    return mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * _STEPS[7])
 
 
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from clickloom.llm import exact, lm, neardup, quality, substring
@@ -210,8 +211,9 @@ def test_filter_grows_with_its_marks_and_probes_end():
     assert lm.Shape.of(1 << 32, 64).bits >= 10 << 32
     keys = np.sort(lm.mix(np.arange(1, 400_001, dtype=np.uint64)))
     counts = np.where(np.arange(400_000) % 4 == 0, 0, np.arange(400_000) % 37)
-    marks = lm.through_slice(keys, counts)
     right = np.where(counts > 0, lm.marks_of(counts), 0)
+    shape = lm.Shape.of(int(right.sum()), 1)
+    marks = lm.probed_marks(lm.filled(keys[counts > 0], right[counts > 0], shape), keys, shape, 6)
     assert (marks >= right).all() and (marks[counts == 0] > 0).mean() < 0.02 and (marks > right).mean() < 0.02
     # a filter without a free bit ends at the highest mark put in
     full, shape = np.full(128, 255, np.uint8), lm.Shape(1, 10)
@@ -219,20 +221,66 @@ def test_filter_grows_with_its_marks_and_probes_end():
     assert packed.packed_counts(np.array([1, 1 << 33])).tolist() == [1, 1 << 33]
 
 
-def test_pairs_reach_their_slice_and_come_back(spark, documents, all_rows):
-    import collections as c
-
+def test_filter_is_kept_and_both_ways_to_probe_it_agree(spark, documents, all_rows):
     from clickloom.llm import packed
 
     docs = documents(*all_rows)
     layout = packed.Layout(7, 5)
+    place = scratch_dir(spark, "kept-filter")
+    slices = lm.train_filter(docs, place, layout)
+    held = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = [WORD.findall(low(text)) + [None] for i, text in all_rows if not held(i)]
+    assert sum(r.pairs for r in slices.collect()) == len({p for x in tokens for p in zip(x, x[1:])})
+    kept = lm.Filter(spark.read.parquet(place).toArrow())
     rows = packed.sharded(docs, layout)
-    found = packed.answered(lm.count_pairs(rows, layout), None, lm.through_slice).collect()
-    keys = c.Counter()
-    for r in found:
-        keys.update(memoryview(r["keys"]).cast("Q").tolist())
-    tokens = [WORD.findall(low(text)) + [None] for _, text in all_rows]
-    assert len(keys) == len({p for x in tokens for p in zip(x, x[1:])})
+    asked = lm.count_pairs(rows, layout, asked=True)
+    routed = {}
+    for r in lm.through_slices(asked, slices).collect():
+        keys = np.frombuffer(r["keys"], "<u8")
+        marks = np.frombuffer(r["counts"], f"<u{len(r['counts']) // max(len(keys), 1) or 1}")
+        routed.update(zip(keys.tolist(), marks.tolist()))
+    every = np.unique(np.concatenate([np.frombuffer(r["keys"], "<u8") for r in asked.collect()]))
+    assert [routed.get(k, 1) for k in every.tolist()] == kept.marks(every).tolist()
+    told = lambda frame: sorted(map(repr, frame.collect()))
+    assert told(lm.score_documents(docs)) == told(lm.score_documents(docs, broadcast_bytes=-1))
+
+
+def test_scores_equal_brute_force_where_the_filter_is_wide(documents, all_rows):
+    got = lm.score_documents(documents(*all_rows), bits_per_mark=2000).collect()
+    tokens = [(i, WORD.findall(low(text)) + [None]) for i, text in all_rows]
+    held = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2
+    train = [x for i, x in tokens if not held(i)]
+    one = collections.Counter(w for x in train for w in x)
+    two = collections.Counter(p for x in train for p in zip(x, x[1:]))
+    n, v = sum(one.values()), len(one)
+    want = []
+    for i, x in tokens:
+        score = 0.0
+        for k, w in enumerate(x):
+            p1, p = (one[w] + 1) / (n + v + 1), None
+            h = one[x[k - 1]] if k else 0
+            share = 0.4 * h / (h + 20)
+            c = two[x[k - 1], w] if k else 0
+            step = c.bit_length()
+            c = min(0.75 * 2 ** step if step > 1 else step, h, one[w])
+            p = (share * c / h if h else 0) + (1 - share) * p1
+            score += math.log10(p)
+        want.append((i, round(score, 6)))
+    assert sorted(map(repr, ((r.doc_id, round(r.score, 6)) for r in got))) == sorted(map(repr, want))
+    # documents that the model has not seen gain too
+    unseen = [r for r in got if r.held_out and r.n_tokens > 100]
+    assert unseen and sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+
+
+def test_words_made_for_a_polynomial_have_hashes_of_their_own():
+    import pyarrow as pa
+
+    from clickloom.llm.text import find_words
+
+    for size in (1024, 2048, 4096):
+        thue = "".join("ab"[k.bit_count() % 2] for k in range(size))
+        hashes = find_words(pa.array([thue, thue.translate({97: "b", 98: "a"}), thue])).hashes
+        assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
 
 
 def test_substring_dedup_gives_the_texts_and_spans(documents):
