@@ -184,7 +184,7 @@ def supported(texts: DataFrame, ids: DataFrame) -> DataFrame:
         grams, bounds = shingle_sets(strings(column))
         return grams, np.ones(len(grams), np.int64), bounds
 
-    def run(_shard: int, keys: np.ndarray, _, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def run(_shard: int, keys: np.ndarray, _, tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         for table in tables:
             grams, bounds = shingle_sets(strings(table["text"]))
             held = np.append(0, np.cumsum(among(grams, keys)))[bounds]

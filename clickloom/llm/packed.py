@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ class Layout:
 
 
 def sharded(docs: DataFrame, layout: Layout) -> DataFrame:
-    """(shard, doc_id, text); the shard of a document without a number follows from its text."""
+    """(shard, doc_id, text); the shard follows from number and text, so different texts of one number are spread."""
     doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    shard = F.pmod(F.xxhash64(F.coalesce(doc_id, F.xxhash64(text))), F.lit(layout.shards)).cast("int")
+    shard = F.pmod(F.xxhash64(doc_id, text), F.lit(layout.shards)).cast("int")
     return docs.select(shard.alias("shard"), doc_id.alias("doc_id"), text.alias("text"))
 
 
@@ -203,33 +204,33 @@ def with_answers(docs: DataFrame, answers: DataFrame, layout: Layout, run: Calla
     for k, frame in enumerate((answers, *more)):
         dealt = dealt.unionByName(frame.select("shard", F.lit(k).alias("kind"), F.lit(None).cast("bigint").alias("doc_id"),
                                                F.lit(None).cast("string").alias("text"), "keys", "counts"))
-    dealt = dealt.repartition(layout.shards, "shard").sortWithinPartitions("shard", "kind", "doc_id")
+    dealt = dealt.repartitionById(layout.shards, "shard").sortWithinPartitions("shard", "kind", "doc_id")
+
+    def one(shard: int, parts: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        held, first = [], None
+        for rows in parts:
+            kind = rows["kind"].to_numpy()
+            split = int((kind < kinds).sum())
+            for k in np.unique(kind[:split]).tolist():
+                a, b = np.searchsorted(kind, [k, k + 1])
+                held.append((k, rows.slice(a, b - a).select(["keys", "counts"])))
+            if split < len(kind):
+                first = rows.slice(split)
+                break
+        if first is None:
+            return
+        known = []
+        for k in range(kinds):
+            mine = [rows for kind, rows in held if kind == k]
+            keys, counts, _ = unpack(pa.concat_tables(mine)) if mine else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
+            order = np.argsort(keys)
+            known += [keys[order], counts[order]]
+        texts = (rows.select(["doc_id", "text"]).combine_chunks().to_batches() for rows in chain([first], parts))
+        yield from run(shard, *known, chunks(chain.from_iterable(texts)))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, docs_ = None, [], []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if docs_:
-                known = []
-                for k in range(kinds):
-                    mine = [rows for kind, rows in held if kind == k]
-                    keys, counts, _ = unpack(pa.concat_tables(mine)) if mine else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
-                    order = np.argsort(keys)
-                    known += [keys[order], counts[order]]
-                yield from run(shard, *known, docs_)
-
-        for batch in batches:
-            for value, rows in by_shard(pa.Table.from_batches([batch])):
-                if value != shard:
-                    yield from done()
-                    shard, held, docs_ = value, [], []
-                kind = rows["kind"].to_numpy()
-                split = int((kind < kinds).sum())
-                for k in np.unique(kind[:split]).tolist():
-                    a, b = np.searchsorted(kind, [k, k + 1])
-                    held.append((k, rows.slice(a, b - a).select(["keys", "counts"])))
-                if split < len(kind):
-                    docs_ += list(chunks(iter(rows.slice(split).select(["doc_id", "text"]).combine_chunks().to_batches())))
-        yield from done()
+        dealt_ = (part for batch in batches for part in by_shard(pa.Table.from_batches([batch])))
+        for shard, parts in groupby(dealt_, key=lambda part: part[0]):
+            yield from one(shard, (rows for _, rows in parts))
 
     return dealt.mapInArrow(whole, schema)

@@ -9,9 +9,9 @@ else is removed.
 2. *Confirm.* Only a window whose seed occurs twice can recur. These windows' hashes are counted over the whole
    corpus; those counted twice are the recurring passages.
 3. *Automata.* Each shard of documents compiles one Aho-Corasick automaton of the seeds of its
-   recurring passages, as sequences of word numbers. Streaming all its documents through the automaton locates every
+   recurring passages, two characters a word. Streaming all its documents through the automaton locates every
    occurrence; from each one the match is extended word by word along the passage in both
-   directions, and what is 35 words or longer is removed.
+   directions, and what is 35 words or longer is removed. Stretches without the hash of any seed are passed over.
 
 A phrase goes to the shards whose documents hold it, so each document is streamed once whatever the number of
 automata, and an automaton is bounded by its shard's text. A passage that many documents
@@ -26,6 +26,7 @@ an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import PACKED, Layout, Packer, among, answered, pack, sharded, with_answers
+from clickloom.llm.packed import PACKED, SHARD_BYTES, Layout, Packer, among, answered, pack, sharded, with_answers
 from clickloom.llm.text import Words, find_words, gram_hashes, gram_places, strings
 from clickloom.session import scratch_dir
 
@@ -86,7 +87,7 @@ def confirm(docs: DataFrame, seeds: DataFrame, layout: Layout) -> DataFrame:
     """Packed hashes of the windows whose seed occurs twice or more."""
     buckets = layout.buckets
 
-    def run(shard: int, keys: np.ndarray, _, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def run(shard: int, keys: np.ndarray, _, tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets, twice)
         for table in tables:
             words = find_words(strings(table["text"]))
@@ -101,34 +102,48 @@ def confirm(docs: DataFrame, seeds: DataFrame, layout: Layout) -> DataFrame:
 def spans_to_remove(tables: list[pa.Table], recurring: np.ndarray) -> Iterator[tuple[pa.Table, Words, np.ndarray]]:
     """Each chunk of a shard with its words and a mark on every word to remove.
 
-    The shard's passages go into one automaton of their seeds; then all its texts stream through.
+    The shard's passages go into one automaton of their seeds; then all its texts stream through. Where no run of
+    16 words has the hash of a seed the automaton could find nothing, so these stretches are passed over.
     """
     parts = [(table, find_words(strings(table["text"]))) for table in tables]
-    # words as numbers: equal words, compared as bytes, have equal numbers
-    numbers: dict[bytes, int] = {}
-    texts = []
-    for table, words in parts:
-        raw = words.data.tobytes()
-        flat = [raw[s:e] for s, e in zip(words.start.tolist(), words.end.tolist())]
-        texts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in flat), np.int64, len(flat)))
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    store, size, seen = [], 0, np.zeros(0, np.uint64)
-    for (table, words), ids in zip(parts, texts):
-        starts, _, seed, _grams = window_seeds(words.hashes, words.first)
+    found, seen, seeds = [], np.zeros(0, np.uint64), [np.zeros(0, np.uint64)]
+    for _table, words in parts:
+        starts, _, seed, grams = window_seeds(words.hashes, words.first)
         hashes = gram_hashes(words.hashes, WINDOW)[starts]
-        hit = np.flatnonzero(among(hashes, recurring) & ~among(hashes, seen))
+        hit = np.flatnonzero(among(hashes, recurring))
+        seeds.append(np.unique(grams[seed[hit]]))
         # a passage is a run of windows that this shard has not had before
+        hit = hit[~among(hashes[hit], seen)]
         fresh, at = np.unique(hashes[hit], return_index=True)
         seen = np.union1d(seen, fresh)
-        mine = np.zeros(len(ids), bool)
-        mine[starts[hit[at]]] = True
-        seed_at = np.full(len(ids), -1)
+        begins = starts[hit[at]]
+        seed_at = np.full(len(words.hashes), -1)
         seed_at[starts] = seed
+        found.append((begins, seed_at, grams))
+    sieve = np.unique(np.concatenate(seeds))
+    # words as numbers: equal words, compared as bytes, have equal numbers; words too far from any seed have none
+    numbers: dict[bytes, int] = {}
+    texts, stretches = [], []
+    for (_table, words), (_begins, _seed_at, grams) in zip(parts, found):
+        near = np.flatnonzero(among(grams, sieve))
+        stretches.append(covered(near, SEED, len(words.hashes)))
+        wide = np.flatnonzero(covered(np.maximum(near - (WINDOW - SEED), 0), 2 * WINDOW - SEED, len(words.hashes)))
+        raw = words.data.tobytes()
+        ids = np.full(len(words.hashes), -2)
+        ids[wide] = np.fromiter((numbers.setdefault(raw[s:e], len(numbers)) for s, e in zip(
+            words.start[wide].tolist(), words.end[wide].tolist())), np.int64, len(wide))
+        texts.append(ids)
+    base = max(1, int(np.ceil(np.sqrt(len(numbers)))))
+    automaton = ahocorasick.Automaton()
+    store, size = [], 0
+    for (begins, seed_at, _grams), ids in zip(found, texts):
+        mine = np.zeros(len(ids), bool)
+        mine[begins] = True
         for a, b in zip(*runs_of(mine)):
             passage = ids[a:b - 1 + WINDOW]
             store.append(passage)
             for place in np.unique(seed_at[a:b]).tolist():
-                key = tuple(ids[place:place + SEED].tolist())
+                key = symbols(ids[place:place + SEED], base)
                 known = automaton.get(key, None)
                 where = size + place - a
                 if known is None:
@@ -137,41 +152,53 @@ def spans_to_remove(tables: list[pa.Table], recurring: np.ndarray) -> Iterator[t
                     known.append(where)
             store.append(np.array([-1]))  # no match goes on from one passage to the next
             size += len(passage) + 1
-    if not size:
-        for (table, words), ids in zip(parts, texts):
-            yield table, words, np.zeros(len(ids), bool)
-        return
-    automaton.make_automaton()
-    passages = np.concatenate(store)
-    for (table, words), ids in zip(parts, texts):
+    if size:
+        automaton.make_automaton()
+        passages = np.concatenate(store)
+    for (table, words), ids, stretch in zip(parts, texts, stretches):
         marks = np.zeros(len(ids) + 1, np.int64)
-        for i in range(table.num_rows):
+        counts = np.append(0, np.cumsum(stretch))[words.first]
+        for i in np.flatnonzero(np.diff(counts)).tolist() if size else ():
             a, b = int(words.first[i]), int(words.first[i + 1])
             if b - a >= WINDOW:
-                mark_matches(automaton, passages, ids[a:b], marks[a:b + 1])
+                mark_matches(automaton, base, passages, ids[a:b], stretch[a:b], marks[a:b + 1])
         yield table, words, np.cumsum(marks[:-1]) > 0
 
 
-def mark_matches(automaton, passages: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> None:
+def covered(begins: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of ``n`` places lie in a run of ``size`` from one of the beginnings."""
+    edge = np.bincount(begins, minlength=n + 1)[:n + 1] - np.bincount(np.minimum(begins + size, n), minlength=n + 1)
+    return np.cumsum(edge[:n]) > 0
+
+
+def symbols(ids: np.ndarray, base: int) -> str:
+    """Two characters per word, of ranges of their own, so that a node has few children and no match begins inside a word."""
+    out = np.empty((len(ids), 2), "<u4")
+    out[:, 0], out[:, 1] = ids // base + 1, ids % base + base + 2
+    return out.tobytes().decode("utf-32-le")
+
+
+def mark_matches(automaton, base: int, passages: np.ndarray, ids: np.ndarray, stretch: np.ndarray, marks: np.ndarray) -> None:
     """Add 1 where a match of 35 words or more begins in a text and -1 after its end."""
     reached: dict[int, int] = {}  # by the distance of text and passage: how far a match has gone
     low = high = 0                # the last stretch that is removed
-    for end, places in automaton.iter(tuple(ids.tolist())):
-        begin = end - SEED + 1
-        if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
-            continue  # every window that holds this seed is removed already
-        for where in places:
-            shift = where - begin
-            if reached.get(shift, -1) > begin:
-                continue
-            a, b = extend(passages, ids, begin, where)
-            reached[shift] = b
-            if b - a >= WINDOW:
-                marks[a] += 1
-                marks[b] -= 1
-                low, high = (min(a, low), max(b, high)) if a <= high and low <= b else (a, b)
-                if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
-                    break
+    for first, last in zip(*runs_of(stretch)):
+        for end, places in automaton.iter(symbols(ids[first:last], base)):
+            begin = int(first) + end // 2 - SEED + 1
+            if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
+                continue  # every window that holds this seed is removed already
+            for where in places:
+                shift = where - begin
+                if reached.get(shift, -1) > begin:
+                    continue
+                a, b = extend(passages, ids, begin, where)
+                reached[shift] = b
+                if b - a >= WINDOW:
+                    marks[a] += 1
+                    marks[b] -= 1
+                    low, high = (min(a, low), max(b, high)) if a <= high and low <= b else (a, b)
+                    if low <= begin - (WINDOW - SEED) and begin + WINDOW <= high:
+                        break
 
 
 def extend(passages: np.ndarray, ids: np.ndarray, begin: int, where: int) -> tuple[int, int]:
@@ -196,10 +223,23 @@ def extend(passages: np.ndarray, ids: np.ndarray, begin: int, where: int) -> tup
     return a, b
 
 
+def in_parts(tables: Iterator[pa.Table]) -> Iterator[list[pa.Table]]:
+    """A shard's chunks in lists of about a shard's usual bytes, so that one full of rows of one number is not held whole."""
+    held, size = [], 0
+    for table in tables:
+        held.append(table)
+        size += table.nbytes
+        if size > 2 * SHARD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def cut(docs: DataFrame, passages: DataFrame, layout: Layout) -> DataFrame:
     """Per document its number of words, the removed spans of them, and the text of those kept."""
-    def run(_shard: int, keys: np.ndarray, _, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        for table, words, gone in spans_to_remove(tables, keys):
+    def run(_shard: int, keys: np.ndarray, _, tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        for table, words, gone in chain.from_iterable(spans_to_remove(held, keys) for held in in_parts(tables)):
             raw, first = words.data.tobytes(), words.first.tolist()
             removed, kept = [], []
             for a, b in zip(first, first[1:]):

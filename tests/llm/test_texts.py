@@ -289,3 +289,17 @@ def test_substring_dedup_gives_the_texts_and_spans(documents):
     got = {r.doc_id: r for r in substring.cleaned(documents(*[(i, " \n".join(w)) for i, w in texts.items()])).collect()}
     assert {i: [tuple(x) for x in r.removed] for i, r in got.items()} == {1: [(10, 50)], 2: [(0, 40)], 3: []}
     assert {i: r.text for i, r in got.items()} == {1: " ".join(texts[1][:10] + texts[1][50:]), 2: " ".join(texts[2][40:]), 3: " ".join(texts[3])}
+
+
+def test_rows_of_one_number_are_spread_and_none_is_lost(documents):
+    """A third of the rows have one doc_id, others none; results are those of rows with numbers of their own."""
+    texts = [" ".join(words(60, 40 + k % 50)) for k in range(90)]
+    ids = [7 if k % 3 == 0 else None if k % 3 == 1 else 100 + k for k in range(90)]
+    from clickloom.llm import packed
+
+    rows = packed.sharded(documents(*zip(ids, texts)), packed.Layout(8, 8)).collect()
+    assert len({r.shard for r in rows if r.doc_id == 7}) > 4 and len({r.shard for r in rows if r.doc_id is None}) > 4
+    cut = lambda i: sorted((r.n_words, r.n_removed, r.kept_sha256) for r in
+                           substring.remove_repeats(documents(*zip(i, texts))).collect())
+    assert cut(ids) == cut(range(90))
+    assert len(lm.score_documents(documents(*zip(ids, texts))).collect()) == 90
