@@ -10,11 +10,13 @@
    copies this is the text the others come from. Links are confirmed on full sets, and components
    of confirmed links are found by contraction.
 4. A star may miss a link between two members that are both too far from its centre. So what is
-   left goes round again: a bucket is settled when all its members are in one component. For the
-   others each set's support is found, the shingles that any other set has too. A set cannot
-   share more than its support, so most edited copies that are too far from the rest are ruled out without
-   being compared. Buckets with the same first centre are put together. What remains gets eight stars, then 64 and so on, each centre leaving its bucket, until every
-   bucket is settled; nothing is capped. No link between documents that share a bucket is lost.
+   left goes round again: a bucket is settled when all its members are in one component. The others, put together by their
+   first centre B into families, are told apart by their differences from it: m elements of B that a member lacks, e of its own.
+   Two members share |B| - m - m' and what they lack both and have both besides, so they are linked only if
+   7 (lacked by both + own of both) >= 4 (m + m') + 3 (e + e') - |B|. Most edited copies have own elements that nobody else has, and are ruled
+   out by that alone. The rest meet only where they share an own element, or, for links that
+   need none, among the few that fit a member shorter than B. These small lists get eight stars, then 64 and so on, each centre
+   leaving its list, until every list is settled; nothing is capped. No link between documents that share a bucket is lost.
 
 Two documents at the threshold share no bucket with probability (1 - 0.75**4)**32, 5 in a million.
 
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import Layout, among, answered, pack, sharded, with_answers
+from clickloom.llm.packed import among
 from clickloom.llm.text import chunks, find_words, gram_hashes, gram_places, mix, strings
 from clickloom.session import scratch_dir
 
@@ -158,47 +160,22 @@ def families(open_: DataFrame) -> DataFrame:
 
 
 def later_stars(open_: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Edges of the next ``centres`` stars of every open bucket, and what is open without these centres."""
-    # the ranking is cut to as many rows per bucket in each task before it is shuffled
-    order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
+    """Edges of the next ``centres`` stars of every open list, and what is open without these centres."""
+    # the ranking is cut to as many rows per list in each task before it is shuffled
+    order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id", "m", "e")
     chosen = open_.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
-    chosen = chosen.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("id", "component", "size", "support")])
+    chosen = chosen.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("id", "component", "m", "e", "s")])
     pairs = open_.join(chosen, "bucket").filter(
         (F.col("id") != F.col("c_id")) & (F.col("component") != F.col("c_component"))
-        & (7 * F.least("support", "c_support") >= 3 * (F.col("size") + F.col("c_size"))))
+        & (7 * (F.least("m", "c_m") + F.least("s", "c_s"))
+           >= 4 * (F.col("m") + F.col("c_m")) + 3 * (F.col("e") + F.col("c_e")) - F.col("centre_size")))
     edges = pairs.select(F.greatest("id", "c_id").alias("id"), F.least("id", "c_id").alias("centre")).distinct()
     rest = open_.join(chosen.select("bucket", F.col("c_id").alias("id")), ["bucket", "id"], "left_anti")
     return edges, rest
 
 
-def supported(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, size, support): a set's size, and how many of its shingles any other of the texts has too.
-
-    What two sets have in common is at most the support of either.
-    """
-    docs = texts.join(ids, "id", "left_semi").withColumnRenamed("id", "doc_id")
-    layout = Layout.of(docs)
-    rows = sharded(docs, layout)
-
-    def keys_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        grams, bounds = shingle_sets(strings(column))
-        return grams, np.ones(len(grams), np.int64), bounds
-
-    def run(_shard: int, keys: np.ndarray, _, tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
-        for table in tables:
-            grams, bounds = shingle_sets(strings(table["text"]))
-            held = np.append(0, np.cumsum(among(grams, keys)))[bounds]
-            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(np.diff(bounds)), pa.array(np.diff(held))],
-                                             ["id", "size", "support"])
-
-    known = answered(pack(rows, layout, keys_of), lambda counts: counts > 1)
-    found = with_answers(rows, known, layout, run, "id bigint, size bigint, support bigint")
-    # ids with several texts: what any pair of them could have
-    return found.groupBy("id").agg(F.min("size").alias("size"), F.max("support").alias("support"))
-
-
-def confirmed(edges: DataFrame, texts: DataFrame, store: _Store) -> DataFrame:
-    """The edges whose full sets are alike enough.
+def meetings(edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """(centre, part, member, id, text) dealt out by centre, in each part the centre's own text first.
 
     The join by id fetches the text of either end in one shuffle; texts then meet by centre. A
     centre with many edges is split, its own text going with every part.
@@ -209,27 +186,82 @@ def confirmed(edges: DataFrame, texts: DataFrame, store: _Store) -> DataFrame:
     heads = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                          F.col("centre").alias("id"))
     wanted = ends.unionByName(heads).join(texts, "id")
-    sorted_ = (wanted.select("centre", "part", (F.col("id") != F.col("centre")).alias("member"), "id", "text")
-               .repartition("centre", "part").sortWithinPartitions("centre", "part", "member"))
+    return (wanted.select("centre", "part", (F.col("id") != F.col("centre")).alias("member"), "id", "text")
+            .repartition("centre", "part").sortWithinPartitions("centre", "part", "member"))
+
+
+def met(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray, np.ndarray]]]:
+    """Chunk by chunk (id, centre, set, centre's set) of each member that meets its centre."""
+    current, head = None, np.zeros(0, np.uint64)
+    for chunk in chunks(batches):
+        grams, bounds = shingle_sets(strings(chunk["text"]))
+        out = []
+        rows = zip(*(chunk[c].to_pylist() for c in ("centre", "part", "member", "id")))
+        for i, (centre, part, member, id_) in enumerate(rows):
+            own = grams[bounds[i]:bounds[i + 1]]
+            if not member:
+                # rows that repeat the centre's id: any of their texts may be near
+                head = own if current != (centre, part) else np.union1d(head, own)
+                current = (centre, part)
+            elif current == (centre, part):
+                out.append((id_, centre, own, head))
+        yield out
+
 
+def confirmed(edges: DataFrame, texts: DataFrame, store: _Store) -> DataFrame:
+    """The edges whose full sets are alike enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, head = None, np.zeros(0, np.uint64)
-        for chunk in chunks(batches):
-            grams, bounds = shingle_sets(strings(chunk["text"]))
-            out: list[tuple[int, int]] = []
-            rows = zip(*(chunk[c].to_pylist() for c in ("centre", "part", "member", "id")))
-            for i, (centre, part, member, id_) in enumerate(rows):
-                own = grams[bounds[i]:bounds[i + 1]]
-                if not member:
-                    # rows that repeat the centre's id: any of their texts may be near
-                    head = own if current != (centre, part) else np.union1d(head, own)
-                    current = (centre, part)
-                elif current == (centre, part) and alike(own, head):
-                    out.append((id_, centre))
+        for pairs in met(batches):
+            out = [(id_, centre) for id_, centre, own, head in pairs if alike(own, head)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["id", "centre"])
 
-    return store(sorted_.mapInArrow(run, "id bigint, centre bigint"))
+    return store(meetings(edges, texts).mapInArrow(run, "id bigint, centre bigint"))
+
+
+def differences(family: DataFrame, texts: DataFrame) -> DataFrame:
+    """Per member's text what it lacks of its centre's set (``m``), and the elements of its own (``own``, ``e`` of them)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pairs in met(batches):
+            own = [x[~among(x, head)].view(np.int64) for _, _, x, head in pairs]
+            lacks = [len(head) - len(x) + len(o) for (_, _, x, head), o in zip(pairs, own)]
+            yield pa.RecordBatch.from_arrays([
+                *(pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)), pa.array(lacks, pa.int64()),
+                pa.array([len(o) for o in own], pa.int64()), pa.array([len(x[3]) for x in pairs], pa.int64()),
+                pa.array(own, pa.list_(pa.int64()))], ["id", "centre", "m", "e", "centre_size", "own"])
+
+    edges = family.filter("id <> bucket").select("id", F.col("bucket").alias("centre"))
+    return meetings(edges, texts).mapInArrow(
+        run, "id bigint, centre bigint, m bigint, e bigint, centre_size bigint, own array<bigint>")
+
+
+def lists_of(family: DataFrame, texts: DataFrame, component: DataFrame, store: _Store) -> DataFrame:
+    """The lists in which members of a family can still have links: (bucket, id, shared, m, e, s, centre_size).
+
+    ``s`` is how many of a member's own elements any other member has too; 0 in the list for links that need none.
+    With g the largest m - e of possible partners, a member has a link only if 4 m + 3 e - |B| <= 3 g + 7 s.
+    """
+    diff = store(differences(family, texts)
+                 .withColumn("row", F.xxhash64("own", "m"))
+                 .dropDuplicates(["centre", "id", "row"]))
+    own = diff.select("centre", "id", "row", F.explode("own").alias("element"))
+    several = own.groupBy("centre", "element").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    own = store(own.join(several, ["centre", "element"]))
+    support = own.groupBy("centre", "id", "row").agg(F.count("*").alias("s"))
+    label = component.select("id", F.col("component").alias("of"))
+    members = (diff.drop("own").join(support, ["centre", "id", "row"], "left").fillna(0, ["s"])
+               .join(label, "id").join(label.select(F.col("id").alias("centre"), F.col("of").alias("main")), "centre"))
+    members = store(members.join(family.select(F.col("bucket").alias("centre"), "id", "shared"), ["centre", "id"]))
+    gap, near = F.col("m") - F.col("e"), F.col("of") == F.col("main")
+    most = members.groupBy("centre").agg(F.max(F.when(near, gap)).alias("near_gap"), F.max(F.when(~near, gap)).alias("far_gap"))
+    # partners of the centre's component are the others; a far member's are all, the centre with m = e = 0 too
+    largest = F.when(near, F.col("far_gap")).otherwise(F.greatest(F.lit(0), "near_gap", "far_gap"))
+    rows = members.join(most, "centre").withColumn("room", 3 * largest - 4 * F.col("m") - 3 * F.col("e") + F.col("centre_size"))
+    rows = store(rows.filter("room + 7 * s >= 0"))
+    columns = ["id", "shared", "m", "e", "s", "centre_size"]
+    alone = rows.filter("room >= 0").withColumn("s", F.lit(0).cast("bigint")).select(F.xxhash64("centre").alias("bucket"), *columns)
+    meeting = rows.join(own, ["centre", "id", "row"]).select(F.xxhash64("centre", "element").alias("bucket"), *columns)
+    return alone.unionByName(meeting)
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -293,10 +325,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not open_.limit(1).count():
             break
         if centres == 1:
-            open_ = store(families(open_))
-            size = store(supported(texts, open_.select("id").distinct()))
-            open_ = open_.join(size, "id")
-        open_, centres = store(feasible(open_)), 8 * centres
+            lists = store(lists_of(store(families(open_)), texts, component, store))
+            open_ = store(unsettled(lists, component))
+        centres *= 8
         edges, rest = later_stars(open_, centres)
         edges = edges.join(tested, ["id", "centre"], "left_anti")
     own = sketch.join(ids, "digest", "left")
@@ -313,12 +344,6 @@ def unsettled(members: DataFrame, component: DataFrame) -> DataFrame:
     return members.join(about.filter("low <> high").select("bucket"), "bucket")
 
 
-def feasible(open_: DataFrame) -> DataFrame:
-    """Without members whose support is too small for a link with any other of the bucket."""
-    least = open_.groupBy("bucket").agg(F.min("size").alias("least"))
-    return open_.join(least, "bucket").filter("7 * support >= 3 * (size + least)").drop("least")
-
-
 def representatives(docs: DataFrame) -> DataFrame:
     """One document of each component, all columns as they came."""
     kept = near_duplicates(docs).filter("kept").select(F.col("component_id").alias("__kept_id")).distinct()

@@ -303,3 +303,37 @@ def test_rows_of_one_number_are_spread_and_none_is_lost(documents):
                            substring.remove_repeats(documents(*zip(i, texts))).collect())
     assert cut(ids) == cut(range(90))
     assert len(lm.score_documents(documents(*zip(ids, texts))).collect()) == 90
+
+
+def test_families_of_edited_copies_lose_no_link(spark, documents):
+    """Copies of one text edited in steps, cut short, or with passages of their own: links far from any centre."""
+    import random
+
+    chooser = random.Random(11)
+    base, texts = words(150, 70), []
+    for k in range(120):
+        w = list(base)
+        for _ in range(chooser.randrange(8)):
+            w[chooser.randrange(len(w))] = f"z{chooser.randrange(40)}"
+        if k % 4 == 0:
+            w = w[:chooser.randrange(60, 150)]
+        if k % 5 == 0:
+            w += words(chooser.randrange(5, 80), 80 + k % 3)
+        if k % 7 == 0:
+            w = w[chooser.randrange(50):]
+        texts.append((k + 1, " ".join(w)))
+    sets = {i: shingles(t) for i, t in texts}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low_, high = sorted((find(a), find(b)))
+                parent[high] = low_
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(documents(*texts)).collect()}
+    assert got == {i: find(i) for i in sets} and 1 < len(set(got.values())) < 120
