@@ -40,7 +40,10 @@ from clickloom.session import scratch_dir
 #: Bounds of the classifier: labelled documents fitted on, and hashed words.
 SAMPLE = 12_000
 BUCKETS = 1 << 15
-EPOCHS, BATCH, LEAST_STEPS, RATE, DECAY = 30, 256, 800, 0.1, 1e-4
+EPOCHS, BATCH, LEAST_STEPS, RATE = 30, 256, 800, 0.1
+#: What pulls a weight to 0 per step at a full sample. The pull is a prior on the weights, whose strength against all labelled
+#: rows together is the same however many there are, so that few rows are not learnt by heart.
+DECAY = 1e-4
 #: Totals this close to their targets are met. The descent ends too when PATIENCE steps together gain less than a thousandth;
 #: STEPS is a stop for the unforeseen, and the miss is returned.
 CLOSE, PATIENCE, STEPS = 1e-6, 4, 200
@@ -96,7 +99,7 @@ def score(weights: np.ndarray, keys: np.ndarray, bounds: np.ndarray) -> np.ndarr
 
 
 def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray:
-    """Softmax regression by adaptive gradient steps over small batches, in a fixed order."""
+    """Softmax regression with a prior, by adaptive gradient steps over small batches, in a fixed order."""
     weights = np.zeros((BUCKETS + 1, len(domains)))
     rows = [r for r in rows if r["domain"] in domains]
     if not rows:
@@ -108,6 +111,7 @@ def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray
     # a class counts by the square root of its rarity
     cost = 1 / np.sqrt(want @ share * len(domains))
     past, chooser = np.full_like(weights, 1e-8), np.random.default_rng(0)
+    decay = DECAY * SAMPLE / len(rows)
     for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // len(rows))):
         order = chooser.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
@@ -118,7 +122,7 @@ def fit_classifier(rows: list, domains: tuple[str, ...] = DOMAINS) -> np.ndarray
             spread = np.repeat(error, np.diff(bounds), axis=0)
             touched, place = np.unique(keys, return_inverse=True)
             slope = np.stack([np.bincount(place, spread[:, d], len(touched)) for d in range(len(domains))], 1)
-            slope += DECAY * weights[touched]
+            slope += decay * weights[touched]
             past[touched] += slope ** 2
             weights[touched] -= RATE * slope / np.sqrt(past[touched])
             bias = error.sum(axis=0)
