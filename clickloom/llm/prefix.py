@@ -6,7 +6,8 @@ encoding of a prefix is that of a shorter prefix and one last token that fits th
 and for each prefix just one such last token exists. The recurrence runs over all distinct prefixes
 of a chunk's new words at once, one length after another, once with the last byte inside a word
 (for prefixes to come) and once with it at a word's end (the count of that prefix as a text).
-Whether two tokens fit is found once per pair and kept.
+Whether two tokens fit is found once per pair and kept. Prefixes are told apart by the shorter prefix and the
+last byte; a rolling hash only proposes a last token, whose bytes are then compared.
 
 A text's table then answers any question about cuts and budgets without encoding again: its entry
 k is the number of tokens of the first k code points of the normalised text (composed, small
@@ -56,7 +57,10 @@ class PrefixCounter:
         self.longest = max(map(len, [*inner, *final]))
         self.powers = np.cumprod(np.append(np.uint64(1), np.full(self.longest, np.uint64(_BASE))), dtype=np.uint64)
         self.inner, self.final = self._lookup(inner), self._lookup(final)
-        # each token's own bytes as symbols
+        # each token's bytes, and these as symbols
+        spelt = {i: raw for raw, i in [*inner.items(), *final.items()]}
+        self.bytes = np.frombuffer(b"".join(spelt[i] for i in sorted(spelt)), np.uint8)
+        self.bytes_first = np.cumsum([0, *(len(spelt.get(i, b"")) for i in range(bpe.size))])
         self.base, self.base_first = np.zeros(0, np.int64), np.zeros(bpe.size + 1, np.int64)
         parts = {i: bpe.inner[list(raw)] for raw, i in inner.items()}
         for raw, i in final.items():
@@ -81,6 +85,8 @@ class PrefixCounter:
     def _lookup(self, tokens: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         hashes = np.array([self.hash_of(raw) for raw in tokens], np.uint64)
         order = np.argsort(hashes)
+        if (np.diff(hashes[order]) == 0).any():
+            raise ValueError("two tokens of the vocabulary have one hash")
         return hashes[order], np.array(list(tokens.values()), np.int64)[order]
 
     @staticmethod
@@ -130,12 +136,14 @@ class PrefixCounter:
             live = int(np.searchsorted(-size, -n, side="right"))
             rolling = sums[-1][:live] * np.uint64(_BASE) + data[start[:live] + n - 1] + np.uint64(1)
             sums.append(rolling)
-            _, pick, node = np.unique(rolling, return_index=True, return_inverse=True)
+            longer = nodes[-1][:live] << 8 | data[start[:live] + n - 1]
+            _, pick, node = np.unique(longer, return_index=True, return_inverse=True)
             nodes.append(node)
-            token, total = self._last_token(n, pick, sums, nodes, last, count, self.inner)
+            told = n, pick, data, start, sums, nodes, last, count
+            token, total = self._last_token(*told, self.inner)
             last.append(token)
             count.append(total)
-            final_counts.append(self._last_token(n, pick, sums, nodes, last, count, self.final)[1][node])
+            final_counts.append(self._last_token(*told, self.final)[1][node])
         flat = np.zeros(len(data), np.int32)
         for n, values in enumerate(final_counts):
             flat[start[:len(values)] + n] = values
@@ -151,7 +159,7 @@ class PrefixCounter:
                 flat[first[i] + 1] = 2
         return flat, first
 
-    def _last_token(self, n, pick, sums, nodes, last, count, lookup):
+    def _last_token(self, n, pick, data, start, sums, nodes, last, count, lookup):
         """For prefixes of ``n`` bytes, seen in the words ``pick``, the last token and the count."""
         hashes, ids = lookup
         token, total = np.full(len(pick), -1), np.zeros(len(pick), np.int64)
@@ -163,6 +171,7 @@ class PrefixCounter:
             key = sums[n][word] - sums[n - length][word] * self.powers[length]
             at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
             found = np.flatnonzero(hashes[at] == key)
+            found = found[self._ends_with(ids[at[found]], data, start[word[found]] + n, length)]
             if not len(found):
                 continue
             mine, before = ids[at[found]], nodes[n - length][word[found]]
@@ -175,6 +184,15 @@ class PrefixCounter:
             open_ = np.setdiff1d(open_, hit, assume_unique=True)
         return token, total
 
+    def _ends_with(self, tokens: np.ndarray, data: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+        """Whether each token is the ``length`` bytes of ``data`` before its end."""
+        first = self.bytes_first[tokens]
+        same = self.bytes_first[tokens + 1] - first == length
+        for k in range(length):
+            at = np.flatnonzero(same)
+            same[at] = self.bytes[first[at] + k] == data[end[at] - length + k]
+        return same
+
     def learn(self, pieces: list[str]) -> None:
         """Tables for the new words of the pieces, and each piece's count, its last entry."""
         lists = [self.bpe.words(p) for p in pieces]

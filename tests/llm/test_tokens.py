@@ -64,6 +64,29 @@ def test_counts_equal_the_library(documents, library, texts):
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((text or "").encode()), n, n > 20)
 
 
+def test_words_made_to_share_a_polynomial_hash_are_told_apart(library):
+    """Thue-Morse words over two letters and their mirrors, one at a time and together, with all their prefixes."""
+    for pair in ("ab", "th", "q!"):
+        signs = [bin(k).count("1") % 2 for k in range(2048)]
+        made = ["".join(pair[s ^ flip] for s in signs[:n]) for n in (512, 1024, 2048) for flip in (0, 1)]
+        together = prefix.PrefixCounter(bpe.default_vocabulary())
+        want = [len(library.encode(t, add_special_tokens=False).ids) for t in made]
+        assert together.totals_of(made).tolist() == want
+        alone = [prefix.PrefixCounter(bpe.default_vocabulary()).totals_of([t]).tolist()[0] for t in made[:2]]
+        assert alone == want[:2]
+
+
+def test_a_last_token_is_taken_only_if_its_bytes_are_there():
+    counter, data = prefix.PrefixCounter(bpe.default_vocabulary()), np.frombuffer("the thing, then this\u00e9".encode(), np.uint8)
+    spelt = {i: counter.bytes[a:b].tobytes() for i, (a, b) in enumerate(zip(counter.bytes_first, counter.bytes_first[1:]))}
+    for length in (1, 2, 3, 4):
+        for end in range(length, len(data) + 1):
+            tokens = np.arange(counter.bpe.size)
+            got = counter._ends_with(tokens, data, np.full(len(tokens), end), length)
+            here = data[end - length:end].tobytes()
+            assert got.tolist() == [spelt[i] == here for i in tokens.tolist()]
+
+
 def test_tables_hold_the_count_of_every_prefix(documents, library, texts):
     some = [t for t in texts if len(t) < 400 and "EndOfText" not in t][:150]
     rows = prefix.prefix_tables(documents(*enumerate(some)), bpe.default_vocabulary()).collect()
