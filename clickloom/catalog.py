@@ -241,7 +241,8 @@ def _serving(spark: SparkSession, tables: str) -> str:
     key = (spark.sparkContext.applicationId, tables)
     if key not in _served:
         root = scratch_dir(spark, "serving")
-        jobs.build_serving(derived_lines(spark, tables), root)
+        # the archive of the build: its lines are made once, not by each of the build's passes
+        jobs.build_serving(jobs.stored(derived_lines(spark, tables), "archive-lines"), root)
         _served[key] = root
     return _served[key]
 

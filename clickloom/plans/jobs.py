@@ -30,7 +30,7 @@ PATTERNS = ["query1", "query2", "query3"]
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a shared intermediate result and read it back."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Events that one task turns into lines. An event is some 20 bytes in a compressed file and 400 as a line, so a file that is
+#: one split for its reader would be one long task, and its lines would not fit the task's memory.
+EVENTS_PER_TASK = 50_000
+
 # Epoch of a zone-free timestamp, the same in every session time zone.
 SPARK_EPOCH = ("(unix_date(CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 "
                "+ second(ts))")
@@ -73,8 +77,14 @@ def _spark(rule: str) -> str:
     return rule.format(S="STRING", EPOCH=SPARK_EPOCH)
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """The events dealt out evenly over as many tasks as their number asks for; it is read from the files' footers."""
+    tasks = -(-events.count() // EVENTS_PER_TASK)
+    return events.select("event_id", "ts", "user_id", "event_type").repartition(max(1, tasks))
+
+
 def _numbered_clicks(spark: SparkSession, tables: str) -> DataFrame:
-    events = spark.read.parquet(f"{tables}/events.parquet")
+    events = _spread(spark.read.parquet(f"{tables}/events.parquet"))
     pages = spark.read.parquet(f"{tables}/pages.parquet").select("page_id", "url")
     page = F.col("event_id") % pages.select(F.count(F.lit(1))).scalar()
     placed = events.withColumn("page_id", page).join(pages, "page_id")
