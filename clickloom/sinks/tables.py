@@ -86,8 +86,9 @@ def write_full_events(events: DataFrame, path: str) -> None:
     Clicks without an id cannot be told apart and are all kept.
     """
     fields = [name for name in events.columns if name not in ("date", "id")]
-    known = events.where(F.col("id").isNotNull()).distinct()  # merges equal rows in the map tasks
-    order = Window.partitionBy("date", "id").orderBy(*[F.desc_nulls_last(name) for name in fields])
-    single = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
-    rows = single.unionByName(events.where(F.col("id").isNull()))
-    write_table(rows, path, ["id"])
+    # a click without an id gets a number of its own, so one pass and one shuffle serve both kinds; of several
+    # with one id a map task sends only its greatest
+    alone = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    order = Window.partitionBy("date", "id", "_alone").orderBy(*[F.desc_nulls_last(name) for name in fields])
+    rows = events.withColumn("_alone", alone).withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
+    write_table(rows.drop("_alone", "_nth"), path, ["id"])

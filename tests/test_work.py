@@ -32,3 +32,18 @@ def test_no_events_are_no_lines(spark, folder):
     for name in ("events", "pages"):
         spark.read.parquet(f"{TABLES}/{name}.parquet").limit(0).write.parquet(f"{place}/{name}.parquet")
     assert derived.derived_lines(spark, place).count() == 0
+
+
+def test_wide_events_are_read_once(spark, monkeypatch, folder):
+    written = []
+    real = tables.write_table
+    monkeypatch.setattr(tables, "write_table", lambda rows, *rest: (written.append(rows), real(rows, *rest)))
+    place, source = folder(), folder()
+    spark.createDataFrame([("d", "1", 5, "x"), ("d", "1", 5, "x"), ("d", "1", 7, None), ("d", None, 1, "y"), ("d", None, 1, "y"),
+                           ("e", "1", None, None)], "date string, id string, n int, s string").write.parquet(source)
+    tables.write_full_events(spark.read.parquet(source), place)
+    rows = Counter((r.date, r.id, r.n, r.s) for r in spark.read.parquet(place).collect())
+    assert rows == Counter({("d", "1", 7, None): 1, ("d", None, 1, "y"): 2, ("e", "1", None, None): 1})
+    plan = written[0]._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() == 1
+    assert _exchanges(written[0]) == 1  # by id; that into files follows
