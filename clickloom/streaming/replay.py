@@ -32,7 +32,7 @@ def deliver(lines: DataFrame, slices: int = 5) -> Replay:
     spark = lines.sparkSession
     stored, landing = scratch_dir(spark, "replay-lines"), scratch_dir(spark, "replay")
     epoch = F.get_json_object("event", "$.t").try_cast("bigint")
-    lines.withColumn("epoch", epoch).write.parquet(stored)
+    lines.withColumn("epoch", epoch).write.option("compression", "zstd").parquet(stored)
     timed = spark.read.schema("event string, epoch bigint").parquet(stored)
     first, last = timed.agg(F.min("epoch"), F.max("epoch")).first()
     first, last = first or 0, last or 0
@@ -41,7 +41,7 @@ def deliver(lines: DataFrame, slices: int = 5) -> Replay:
         start = first + k * width
         inside = (F.col("epoch") >= start) & (F.col("epoch") < start + width)
         chosen = timed.where(inside | F.col("epoch").isNull() if k == 0 else inside)
-        chosen.select("event").write.mode("append").text(landing)
+        chosen.select("event").write.mode("append").option("compression", "gzip").text(landing)
     files = len(spark.read.text(landing).inputFiles())
     return Replay(landing, files, -(-files // slices), f"{width} seconds")
 
@@ -53,7 +53,7 @@ def deliver_in_steps(lines: DataFrame, path: str, slices: int, again: Column | N
     """
     spark, stored = lines.sparkSession, scratch_dir(lines.sparkSession, "replay-steps")
     epoch = F.get_json_object("event", "$.t").try_cast("bigint")
-    lines.select("event", epoch.alias("epoch")).distinct().write.parquet(stored)
+    lines.select("event", epoch.alias("epoch")).distinct().write.option("compression", "zstd").parquet(stored)
     timed = spark.read.schema("event string, epoch bigint").parquet(stored)
     first, last = timed.agg(F.min("epoch"), F.max("epoch")).first()
     first, last = first or 0, last or 0

@@ -47,3 +47,12 @@ def test_wide_events_are_read_once(spark, monkeypatch, folder):
     plan = written[0]._jdf.queryExecution().optimizedPlan()
     assert plan.collectLeaves().size() == 1
     assert _exchanges(written[0]) == 1  # by id; that into files follows
+
+
+def test_delivered_files_are_compressed(spark, lines):
+    sent = lines(*[click(_id=str(k), t=1433920000 + k) for k in range(30)], "no click")
+    replay = deliver(sent, slices=3)
+    names = [n for n in folder_names(spark, replay.path) if not n.startswith(("_", "."))]
+    assert names and all(name.endswith(".gz") for name in names)
+    assert replay.files == len(names)
+    assert sorted(r.value for r in spark.read.text(replay.path).collect()) == sorted(r.event for r in sent.collect())
