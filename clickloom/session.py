@@ -69,6 +69,12 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, place = _place(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def read_file(spark: SparkSession, path: str) -> str:
     """A small text file."""
     files, place = _place(spark, path)

@@ -24,12 +24,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.schema import SERVING_TABLES
-from clickloom.session import folder_names, read_file, remove_folder, write_file
+from clickloom.session import folder_bytes, folder_names, read_file, remove_folder, write_file
 
 #: Parts of one day and level that are merged.
 FANOUT = 8
 #: Tables that are written at the same time.
 AT_ONCE = 4
+#: Bytes of a file that merging makes, about.
+FILE_BYTES = 64 << 20
 #: Manifests whose parts are kept for readers that are still at them.
 KEPT = 2
 
@@ -82,12 +84,27 @@ class TableStore:
 
     def _write(self, rows: DataFrame, table: str, folder: str, level: int) -> list[Part]:
         """One part per day found in the rows; ``date`` stays a column, so that parts can be read one by one."""
+        return self._put(rows.withColumn("day", F.col("date")).hint("rebalance", "day"), table, folder, level)
+
+    def _merge(self, parts: list[Part], table: str, folder: str, level: int) -> list[Part]:
+        """Parts as one, by a single shuffle: a day is dealt into as many files as its bytes ask for, a key's rows to one.
+
+        A key has one row in each part at most, so there is nothing to combine before the shuffle and no key weighs more than
+        another.
+        """
+        rows, days = self._read(table, parts), defaultdict(int)
+        for part in parts:
+            days[part.day] += folder_bytes(self.spark, f"{self.root}/parts/{table}/{part.folder}/{part.day}")
+        keys = [name for name in rows.columns if name != "clicks"]
+        slot = F.pmod(F.xxhash64(*keys), F.lit(-(-max(days.values()) // FILE_BYTES) or 1))
+        dealt = rows.select("*", F.col("date").alias("day"), slot.alias("slot")).repartition("day", "slot")
+        return self._put(merged(dealt).drop("slot"), table, folder, level)
+
+    def _put(self, rows: DataFrame, table: str, folder: str, level: int) -> list[Part]:
+        """Rows with their ``day``, dealt out as the files are to be."""
         place = f"{self.root}/parts/{table}/{folder}"
-        keys = [name for name in rows.columns if name not in ("date", "clicks")]
-        (
-            rows.withColumn("day", F.col("date")).hint("rebalance", "day").sortWithinPartitions("day", *keys)
-            .write.mode("overwrite").partitionBy("day").parquet(place)
-        )
+        keys = [name for name in rows.columns if name not in ("date", "clicks", "day")]
+        rows.sortWithinPartitions("day", *keys).write.mode("overwrite").partitionBy("day").parquet(place)
         days = [name for name in folder_names(self.spark, place) if name.startswith("day=")]
         return [Part(table, day, level, folder) for day in sorted(days)]
 
@@ -110,7 +127,7 @@ class TableStore:
             if not full:
                 break
             level += 1
-            fresh = self._write(merged(self._read(table, full)), table, f"{batch:015d}-{level}", level)
+            fresh = self._merge(full, table, f"{batch:015d}-{level}", level)
             parts = [part for part in parts if part not in full] + fresh
         return parts
 

@@ -45,7 +45,7 @@ def start_tables(spark: SparkSession, lines: DataFrame, root: str, checkpoint: s
         if batch_id <= store.state().batch:
             return
         place = f"{root}/arrived/{batch_id:015d}"
-        batch.select("event").write.mode("overwrite").parquet(place)
+        batch.select("event").write.mode("overwrite").option("compression", "zstd").parquet(place)
         store.commit(batch_id, batch_tables(spark.read.schema("event string").parquet(place)))
         remove_folder(spark, place)  # the raw lines are in the store now
         store.clean()

@@ -56,3 +56,29 @@ def test_delivered_files_are_compressed(spark, lines):
     assert names and all(name.endswith(".gz") for name in names)
     assert replay.files == len(names)
     assert sorted(r.value for r in spark.read.text(replay.path).collect()) == sorted(r.event for r in sent.collect())
+
+
+def test_parts_are_merged_by_one_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(stores, "FILE_BYTES", 1_500)
+    put, plans = TableStore._put, []
+    monkeypatch.setattr(TableStore, "_put", lambda self, rows, table, name, level: (
+        plans.append((level, _exchanges(rows))), put(self, rows, table, name, level))[1])
+    store = TableStore(spark, folder(), fanout=2)
+    days = ("2015-06-10", "2015-06-11", None)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # small parts would be one file
+    for batch in range(2):
+        raw = spark.createDataFrame([(f"line {k}", days[k % 3]) for k in range(batch * 50, 150)], "event string, date string")
+        counts = spark.createDataFrame([("a", "10", 2, days[0]), ("b", "10", batch, days[1])],
+                                       "domain string, time string, clicks bigint, date string")
+        store.commit(batch, {"raw_clicks": raw, "domain_hours": counts})
+    spark.conf.set(setting, before)
+    assert {level: n for level, n in plans}[1] == 1
+    assert store.parts_per_day("raw_clicks") == 1
+    assert Counter(r.event for r in store.read("raw_clicks").collect()) == Counter(f"line {k}" for k in range(150))
+    # more than one file a day, and still one row a key
+    part = next(p for p in store.state().parts if p.table == "raw_clicks" and p.day.endswith("10"))
+    files = spark.read.parquet(f"{store.root}/parts/raw_clicks/{part.folder}/{part.day}")
+    assert files.count() == 50 and len(files.inputFiles()) > 1
+    assert {(r.domain, r.clicks) for r in store.read("domain_hours").collect()} == {("a", 4), ("b", 1)}
