@@ -18,6 +18,9 @@
    need none, among the few that fit a member shorter than B. These small lists get eight stars, then 64 and so on, each centre
    leaving its list, until every list is settled; nothing is capped. No link between documents that share a bucket is lost.
 
+Whole texts and bucket lists cross no shuffle only to be dropped: bitmaps of the copied sets, the shared buckets and the ids that
+have company go to the rows by broadcast, and what they rule out stays where it is (:func:`marked`).
+
 Two documents at the threshold share no bucket with probability (1 - 0.75**4)**32, 5 in a million.
 
 Defined cases: a document without words has no set and is linked with nothing; one of fewer words
@@ -44,6 +47,8 @@ from clickloom.session import scratch_dir
 SHINGLE = 5
 BINS, ROWS = 128, 4
 THRESHOLD_PERCENT = 75
+#: Bits of a bitmap per key at least, and of all keys at most; more keys than fit let more rows pass, and lose none.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28
 #: Rows that one centre's share of a comparing task may have before it is split.
 SPLIT = 256
 
@@ -135,10 +140,34 @@ class _Store:
         return self.spark.read.parquet(place)
 
 
+def marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows with ``maybe``: true where the column's value is a key, and by chance for one in 16 others at most.
+
+    ``keys`` has the column of that name alone and is read twice. It becomes a bitmap of hashes in pages of 4 KB, 32 MB
+    in all at most; where that is too small for the keys, more others are true by chance. A null is a value like any other.
+    """
+    bits = min(MOST_BITS, max(1 << 15, 1 << (BITS_PER_KEY * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+    page, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    pages = keys.groupBy(page.alias("__page")).agg(F.bitmap_construct_agg(bit).alias("__bits"))
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("__page", page).join(F.broadcast(pages), "__page", "left")
+    maybe = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn("maybe", maybe).drop("__page", "__bits")
+
+
+def classes_of(known: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, buckets) of each class once; only the buckets of sets that may have copies are shuffled."""
+    known = marked(known.select(F.col("doc_id").alias("id"), "digest", "buckets"), "digest", ids.filter("n > 1").select("digest"))
+    copied = known.filter("maybe").join(ids, ["digest", "id"]).dropDuplicates(["digest", "id"])
+    return known.filter("NOT maybe").select("id", "buckets").unionByName(copied.select("id", "buckets"))
+
+
 def members_of(classes: DataFrame, store: _Store) -> DataFrame:
     """(bucket, id, shared): members of buckets of two or more; shared counts a class's company."""
     members = classes.select("id", F.explode("buckets").alias("bucket"))
     full = store(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
+    members = marked(members, "bucket", full.select("bucket")).filter("maybe").drop("maybe")
     members = store(members.join(full, "bucket"))
     shared = members.groupBy("id").agg(F.sum("n").alias("shared"))
     return store(members.join(shared, "id").select("bucket", "id", "shared"))
@@ -305,14 +334,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     store = _Store(spark)
     sketch = store(sketches(docs))
     known = sketch.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    ids = store(known.groupBy("digest").agg(F.min("doc_id").alias("id")))
-    classes = (known.select(F.col("doc_id").alias("id"), "digest", "buckets").join(ids, ["digest", "id"])
-               .dropDuplicates(["digest", "id"]).select("id", "buckets"))
-    members = members_of(classes, store)
-    # of the texts only those are needed again that share a bucket with another
-    near = members.select("id").distinct()
-    texts = store(_rows(docs).withColumnRenamed("doc_id", "id").join(near, "id", "left_semi"))
+    ids = store(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")))
+    members = members_of(classes_of(known, ids), store)
     component = store(members.select("id", F.col("id").alias("component")).distinct())
+    # of the texts only those are needed again that share a bucket with another; joins by id drop the few others kept
+    texts = marked(_rows(docs).withColumnRenamed("doc_id", "id"), "id", component.select("id"))
+    texts = store(texts.filter("maybe").drop("maybe"))
     tested, edges, rest, centres = None, stars(members), members, 1
     while True:
         edges = store(edges)
@@ -330,7 +357,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         centres *= 8
         edges, rest = later_stars(open_, centres)
         edges = edges.join(tested, ["id", "centre"], "left_anti")
-    own = sketch.join(ids, "digest", "left")
+    own = sketch.join(ids.drop("n"), "digest", "left")
     own = own.join(component, "id", "left")
     smallest = F.coalesce("component", "id", "doc_id")
     return own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), smallest).alias("component_id"),

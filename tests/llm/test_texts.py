@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import exact, lm, neardup, quality, substring
 from clickloom.session import scratch_dir
@@ -337,3 +338,34 @@ def test_families_of_edited_copies_lose_no_link(spark, documents):
                 parent[high] = low_
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(documents(*texts)).collect()}
     assert got == {i: find(i) for i in sets} and 1 < len(set(got.values())) < 120
+
+
+def test_marks_miss_no_key_and_few_others_pass(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id") * 7919).alias("key"), F.col("id").alias("page"))
+    keys = rows.filter("page % 10 = 0").select("key")
+    got = neardup.marked(rows, "key", keys)
+    assert got.columns == ["key", "page", "maybe"] and got.count() == 20_000
+    assert got.filter("page % 10 = 0 AND NOT maybe").count() == 0
+    assert got.filter("page % 10 <> 0 AND maybe").count() < 18_000 / 12
+    assert neardup.marked(rows, "key", keys.limit(0)).filter("maybe").count() == 0
+    # a bitmap too small for its keys still has them all
+    monkeypatch.setattr(neardup, "MOST_BITS", 1 << 10)
+    assert neardup.marked(rows, "key", keys).filter("page % 10 = 0 AND maybe").count() == 2_000
+
+
+def test_texts_are_not_shuffled_to_find_those_with_company(spark, documents, all_rows, monkeypatch):
+    """Also where the ids are too many for Spark's own broadcasts."""
+    plans, write = {}, neardup._Store.__call__
+
+    def watched(self, frame):
+        plans.setdefault(tuple(frame.columns), frame._jdf.queryExecution().executedPlan().toString())
+        return write(self, frame)
+
+    want = sorted(map(repr, neardup.near_duplicates(documents(*all_rows)).collect()))
+    monkeypatch.setattr(neardup._Store, "__call__", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(map(repr, neardup.near_duplicates(documents(*all_rows)).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans["id", "text"] and "SortMergeJoin" not in plans["id", "text"]
