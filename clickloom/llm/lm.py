@@ -1,7 +1,8 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Training texts are counted in packed keys: every word and every pair of neighbouring words. Word
-counts go back to the shards that hold the words, exact, for the base score. Pairs go
+Texts are stored once in shards of rows that were read together, so a task that counts them meets few shards and sends a row
+per shard and bucket of keys; they cross no shuffle. Training texts are counted in packed keys: every word and every pair of
+neighbouring words. Word counts go back to the shards that hold the words, exact, for the base score. Pairs go
 into a Bloom filter: the count c is quantised to q = 1 + floor(log2 c), and the filter holds the pair with
 each of the marks 1 .. q. A reader probes with 1, 2, ... until a probe fails; the last mark that
 holds gives the count back as the middle of its range. A mark that holds by chance makes a pair a
@@ -12,7 +13,7 @@ chance hits stay as rare whatever the corpus. Only training pairs are counted, a
 bytes to a table that stays (:func:`train_filter`), to be read again by any later run. A slice is never probed beyond the
 highest mark put into it. Workers get the filter by broadcast and probe it where the texts are, so no pair comes back through a shuffle.
 A filter of more than ``BROADCAST_BYTES`` is not broadcast: there the pairs that a shard asks about go packed to their
-slices, and the marks found come back; both ways give the same marks.
+slices, and the marks found come back, a byte each in the order asked; both ways give the same marks.
 
 Score of a token w after h: ``a p2(w | h) + (1 - a) p1(w)``, with p1 the base probability and
 p2 = c(h w) / c(h), at most 1; a is ``SHARE`` for frequent h and less for rare ones. The first token of a text
@@ -34,9 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.packed import PACKED, Layout, add_up, among, answered, bucket_of, pack, packed_counts, sharded, unpack, with_answers
-from clickloom.llm.text import find_words, mix, strings
-from clickloom.session import scratch_dir
+from clickloom.llm.packed import (
+    PACKED, PACKED_SCHEMA, Layout, Packer, add_up, answered, bucket_of, pack, packed_counts, stored_by, stretches, unpack,
+)
+from clickloom.llm.text import chunks, find_words, mix, strings
+from clickloom.session import scratch_dir, shuffles_removed
 
 #: Fixed values of the held-out rule.
 FOLDS, HELD_OUT = 7, 2
@@ -92,17 +95,46 @@ def count_words(docs: DataFrame, layout: Layout) -> DataFrame:
 
 
 def count_pairs(docs: DataFrame, layout: Layout, asked: bool = False) -> DataFrame:
-    """Per shard and bucket the pairs that its training documents hold, with their counts; ``asked``: the pairs of all documents."""
+    """Per shard and bucket the pairs that its training documents hold, with their counts.
+
+    ``asked``: the pairs of all documents, those of a shard in one row per bucket and in order.
+    """
     def keys_of(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         tokens, bounds = token_hashes(strings(chunk["text"]))
-        used = np.ones(len(tokens), bool)
-        used[bounds[:-1]] = False
-        if not asked:
-            used &= np.repeat(in_training(chunk["doc_id"].to_pylist()), np.diff(bounds))
+        used = inside(bounds) & np.repeat(in_training(chunk["doc_id"].to_pylist()), np.diff(bounds))
         keys = pairs_of(tokens)[used]
         return keys, np.ones(len(keys), np.int64), np.append(0, np.cumsum(used))[bounds]
 
-    return pack(docs, layout, keys_of, kept=(lambda counts: np.minimum(counts, 1)) if asked else (lambda counts: counts), whole=True)
+    def ask(rows: pa.Table) -> pa.Table:
+        pairs = np.concatenate([pairs_of(tokens)[inside(bounds)] for _, tokens, bounds in tokens_in(rows)])
+        keys, packer = distinct(pairs)[0], Packer(layout.buckets)
+        packer.add(rows["shard"][0].as_py(), keys, np.ones(len(keys), np.int64))
+        return pa.Table.from_batches(packer.send(), PACKED_SCHEMA)
+
+    return docs.groupBy("shard").applyInArrow(ask, PACKED) if asked else pack(docs, layout, keys_of, whole=True)
+
+
+def tokens_in(rows: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """The rows in chunks, each with its tokens and their bounds."""
+    for chunk in chunks(rows.to_batches()):
+        yield chunk, *token_hashes(strings(chunk["text"]))
+
+
+def inside(bounds: np.ndarray) -> np.ndarray:
+    """Which tokens end a pair: all but the first of each text."""
+    out = np.ones(bounds[-1], bool)
+    out[bounds[:-1]] = False
+    return out
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the place of each key among them."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return keys[order[new]], place
 
 
 def marks_of(counts: np.ndarray) -> np.ndarray:
@@ -192,9 +224,13 @@ def slices_of(pairs: DataFrame, layout: Layout, bits_per_mark: int = BITS_PER_MA
 
 
 def train_filter(docs: DataFrame, place: str, layout: Layout | None = None, bits_per_mark: int = BITS_PER_MARK) -> DataFrame:
-    """Count the training pairs of the documents and write their filter to ``place``."""
+    """Count the training pairs of the documents and write their filter to ``place``.
+
+    Their counts go nowhere but into slices, so all documents are one shard: a task sends a row per bucket, whatever their number.
+    """
     layout = layout or Layout.of(docs)
-    slices_of(count_pairs(sharded(docs, layout), layout), layout, bits_per_mark).write.parquet(place)
+    rows = docs.select(F.lit(0).alias("shard"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slices_of(count_pairs(rows, layout), layout, bits_per_mark).write.parquet(place)
     return docs.sparkSession.read.parquet(place)
 
 
@@ -228,18 +264,21 @@ class Filter:
         return mark
 
 
-def through_slices(asked: DataFrame, slices: DataFrame) -> DataFrame:
-    """Per shard and bucket the pairs asked for with their marks, those whose mark is not 1; pairs meet their slice by bucket."""
+def through_slices(asked: DataFrame, slices: DataFrame, named: bool = True) -> DataFrame:
+    """Per shard and bucket the pairs asked for with their marks, those whose mark is not 1; pairs meet their slice by bucket.
+
+    Not ``named``: the marks alone, of all pairs in the order asked; a mark is a byte, a pair eight.
+    """
     def run(table: pa.Table, own: pa.Table) -> pa.Table:
         filter_ = Filter(own)
         out = []
         for row in table.to_batches(max_chunksize=1):
             keys = np.frombuffer(row["keys"][0].as_buffer(), "<u8")
             mark = filter_.marks(keys)
-            told = mark != 1
+            told = mark != 1 if named else np.ones(len(mark), bool)
             out.append({"shard": row["shard"][0].as_py(), "bucket": row["bucket"][0].as_py(),
-                        "keys": keys[told].tobytes(), "counts": packed_counts(mark[told]).tobytes()})
-        return pa.Table.from_pylist(out, pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+                        "keys": keys[told].tobytes() if named else b"", "counts": packed_counts(mark[told]).tobytes()})
+        return pa.Table.from_pylist(out, PACKED_SCHEMA)
 
     return asked.groupBy("bucket").cogroup(slices.groupBy("bucket")).applyInArrow(run, PACKED)
 
@@ -252,61 +291,73 @@ def score_documents(docs: DataFrame, place: str | None = None, broadcast_bytes:
     """
     spark = docs.sparkSession
     layout = Layout.of(docs)
-    rows = sharded(docs, layout)
-
-    def stored(frame: DataFrame, label: str) -> DataFrame:
-        place = scratch_dir(spark, label)
-        frame.write.parquet(place)
-        return spark.read.parquet(place)
-
-    words = stored(answered(count_words(rows, layout)), "words")
+    rows = stretches(docs, layout)
     # each bucket's distinct words and their counts: one small row per bucket
     def sums(table: pa.Table) -> pa.Table:
         keys, counts, _ = unpack(table)
         _, first = np.unique(keys, return_index=True)
         return pa.table({"tokens": [int(counts[first].sum())], "words": [int((counts[first] > 0).sum())]})
 
-    total = words.groupBy("bucket").applyInArrow(sums, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
+    with shuffles_removed(spark):
+        words = stored_by(answered(count_words(rows, layout)), "words", "bucket", layout.buckets)
+        total = words.groupBy("bucket").applyInArrow(sums, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
+        slices = train_filter(rows, place or scratch_dir(spark, "filter"), layout, bits_per_mark)
     n, v = int(total[0] or 0), int(total[1] or 0)
     base = np.log10(n + v + 1.0)
-    slices = train_filter(docs, place or scratch_dir(spark, "filter"), layout, bits_per_mark)
     size = slices.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+    answers, filter_ = words.withColumn("kind", F.lit(0)), None
     if size <= broadcast_bytes:
-        filter_, answers = spark.sparkContext.broadcast(Filter(slices.toArrow())), ()
+        filter_ = spark.sparkContext.broadcast(Filter(slices.toArrow()))
     else:
-        filter_, answers = None, (through_slices(count_pairs(rows, layout, asked=True), slices),)
-
-    def run(_shard: int, keys: np.ndarray, counts: np.ndarray, *known: np.ndarray) -> Iterator[pa.RecordBatch]:
-        *told, tables = known
-        for table in tables:
+        marks = through_slices(count_pairs(rows, layout, asked=True), slices, named=False)
+        answers = answers.unionByName(marks.withColumn("kind", F.lit(1)))
+
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
+        parts = list(tokens_in(texts))
+        keys, counts, _ = unpack(told.filter(pc.equal(told["kind"], 0)))
+        order = np.argsort(keys)
+        words, place = distinct(np.concatenate([tokens for _, tokens, _ in parts]))
+        if not np.array_equal(keys[order], words):
+            raise ValueError(f"counts of {len(keys)} words came back for {len(words)}")
+        known = counts[order][place]
+        if not filter_:
+            pairs, place = distinct(np.concatenate([pairs_of(tokens)[inside(bounds)] for _, tokens, bounds in parts]))
+            marks = marks_in_order(told.filter(pc.equal(told["kind"], 1)))
+            if len(marks) != len(pairs):
+                raise ValueError(f"{len(marks)} marks came back for {len(pairs)} pairs")
+            marks = marks[place]
+        out, at, pair = [], 0, 0
+        for table, tokens, bounds in parts:
             ids = table["doc_id"].to_pylist()
-            tokens, bounds = token_hashes(strings(table["text"]))
-            c = counts[np.searchsorted(keys, tokens)]
+            c, later = known[at:at + len(tokens)], inside(bounds)
+            at += len(tokens)
             log1 = np.log10(c + 1.0) - base
             before = np.roll(c, 1)
-            first = np.zeros(len(tokens), bool)
-            first[bounds[:-1]] = True
-            ask = ~first & (c > 0) & (before > 0)
+            ask = later & (c > 0) & (before > 0)
             both = np.zeros(len(tokens))
-            both[ask] = middle(filter_.value.marks(pairs_of(tokens)[ask]) if filter_ else told_marks(pairs_of(tokens)[ask], *told))
-            share = np.where(first, 0.0, SHARE * before / (before + HALF))
+            if filter_:
+                both[ask] = middle(filter_.value.marks(pairs_of(tokens)[ask]))
+            else:
+                both[ask] = middle(marks[pair:pair + later.sum()][ask[later]])
+                pair += later.sum()
+            share = np.where(later, SHARE * before / (before + HALF), 0.0)
             two = np.minimum(both, np.minimum(before, c)) / np.maximum(before, 1)
             log2 = np.log10(share * two + (1 - share) * 10.0 ** log1)
             add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has a token
             crc = [i is not None and zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in ids]
-            yield pa.RecordBatch.from_arrays([
-                table["doc_id"].combine_chunks(), pa.array(crc), pa.array(np.diff(bounds)), pa.array(add((c > 0).astype(np.int64))),
+            out.append(pa.table([
+                table["doc_id"], pa.array(crc), pa.array(np.diff(bounds)), pa.array(add((c > 0).astype(np.int64))),
                 pa.array(np.full(len(ids), n)), pa.array(add(log1)), pa.array(add(log2))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+        return pa.concat_tables(out)
 
-    return with_answers(rows, words, layout, run, _RESULT, *answers)
+    return rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(run, _RESULT)
 
 
-def told_marks(asked: np.ndarray, pairs: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """The marks of pairs from what came back; a pair without an answer has mark 1."""
-    told, found = among(asked, pairs), np.ones(len(asked), np.int64)
-    found[told] = marks[np.searchsorted(pairs, asked[told])]
-    return found
+def marks_in_order(told: pa.Table) -> np.ndarray:
+    """The marks of a shard's pairs, from a row per bucket; a mark is at most 64, so a byte."""
+    rows = told.take(pc.sort_indices(told["bucket"]))
+    return np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint8).astype(np.int64)
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

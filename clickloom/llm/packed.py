@@ -9,16 +9,20 @@ numbers are chosen from the size of the input, so a bucket and a shard stay at a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.text import chunks
+from clickloom.llm.text import chunks, mix
+from clickloom.session import scratch_dir
 
 #: Bytes of text in a shard, about.
 SHARD_BYTES = 12_000_000
@@ -26,6 +30,7 @@ SHARD_BYTES = 12_000_000
 HOLD = 2_000_000
 
 PACKED = "shard int, bucket int, keys binary, counts binary"
+PACKED_SCHEMA = pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
 @dataclass(frozen=True)
@@ -49,6 +54,34 @@ def sharded(docs: DataFrame, layout: Layout) -> DataFrame:
     return docs.select(shard.alias("shard"), doc_id.alias("doc_id"), text.alias("text"))
 
 
+def stored_by(frame: DataFrame, label: str, column: str, number: int) -> DataFrame:
+    """The rows written once, in ``number`` buckets of a column: grouping them by it needs no shuffle."""
+    place = scratch_dir(frame.sparkSession, label)
+    table = f"{label}_{uuid.uuid5(uuid.NAMESPACE_URL, place).hex}"
+    (frame.write.format("parquet").option("compression", "zstd").option("path", place)
+     .bucketBy(number, column).saveAsTable(table))
+    return frame.sparkSession.table(table)
+
+
+def stretches(docs: DataFrame, layout: Layout) -> DataFrame:
+    """(shard, doc_id, text), written once; a shard is a stretch of rows that one task read, of about ``SHARD_BYTES``.
+
+    A task that reads the rows again meets few shards, so it sends few rows per bucket, however many shards there are; with shards
+    by hash (:func:`sharded`) it meets all of them. No text is shuffled, and copies of one row are no shard of their own.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, size = TaskContext.get().partitionId(), 0, 0
+        for chunk in chunks(batches):
+            shard = int(mix(np.array([task << 32 | number], np.uint64))[0] >> np.uint64(33))
+            yield from chunk.add_column(0, "shard", pa.array(np.full(len(chunk), shard, np.int32))).to_batches()
+            size += pc.sum(pc.binary_length(chunk["text"])).as_py() or 0
+            if size >= SHARD_BYTES:
+                number, size = number + 1, 0
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return stored_by(rows.mapInArrow(run, "shard int, doc_id bigint, text string"), "stretches", "shard", layout.shards)
+
+
 def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
     if not len(keys):

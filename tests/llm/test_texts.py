@@ -369,3 +369,36 @@ def test_texts_are_not_shuffled_to_find_those_with_company(spark, documents, all
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plans["id", "text"] and "SortMergeJoin" not in plans["id", "text"]
+
+
+def test_rows_sent_grow_with_buckets_and_not_with_shards_times_buckets(spark, documents, monkeypatch):
+    from clickloom.llm import packed
+
+    docs = documents(*[(k, " ".join(words(80, k))) for k in range(400)]).repartition(2).cache()
+    want = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in lm.score_documents(docs).collect())
+    sent = []
+
+    def pack(*args, **more):
+        sent.append(packed.pack(*args, **more))
+        return sent[-1]
+
+    monkeypatch.setattr(lm, "pack", pack)
+    monkeypatch.setattr(packed.Layout, "of", classmethod(lambda cls, docs: cls(40, 40)))
+    for most in (1 << 20, -1):
+        got = lm.score_documents(docs, broadcast_bytes=most).collect()
+        assert sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
+    # words and pairs, each twice: a task reads a stretch of the documents and sends a row per bucket
+    assert len(sent) == 4 and all(frame.count() <= 2 * 40 for frame in sent)
+    docs.unpersist()
+
+
+def test_stretches_end_at_their_size_and_keep_every_row(documents, monkeypatch):
+    from clickloom.llm import packed
+
+    rows = [(7, "same text"), (7, "same text"), (None, None), (8, ""), *[(k, " ".join(words(400_000, k))) for k in range(9, 17)]]
+    found = packed.stretches(documents(*rows).coalesce(1), packed.Layout(4, 4)).collect()
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in found))) == sorted(map(repr, rows))
+    sizes = collections.Counter()
+    for r in found:
+        sizes[r.shard] += len(r.text or "")
+    assert len(sizes) == 2 and max(sizes.values()) <= packed.SHARD_BYTES + 3_000_000
