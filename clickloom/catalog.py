@@ -35,7 +35,7 @@ from clickloom.streaming.late import counted_lines, late_lines, newest_counts
 from clickloom.streaming.pipeline import close_days, start_documents
 from clickloom.streaming.replay import Replay, deliver, deliver_in_steps
 from clickloom.streaming.report import RunReport, observed, totals
-from clickloom.streaming.run import append_files, append_live, keep_running, start_batches, state_partitions
+from clickloom.streaming.run import append_files, append_live, keep_running, start_batches, state_on_disk, state_partitions
 from clickloom.streaming.tables import LIVE_COUNTS, batch_tables, start_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -428,7 +428,8 @@ def _again() -> Column:
 def stream_daily(spark: SparkSession, tables: str) -> DataFrame:
     """Different lines per day: closed days by chained stateful steps, open ones from raw lines."""
     replay, root = _replay(spark, tables), scratch_dir(spark, "stream-daily")
-    with _small_state(spark, replay):
+    # a few state partitions a core, however many files: each is a store with buffers of its own
+    with state_partitions(spark, 4 * spark.sparkContext.defaultParallelism), state_on_disk(spark):
         closed = append_files(line_counter(replay.feed(spark), replay.delay), f"{root}/closed", f"{root}/state")
     closed.awaitTermination()
     done = spark.read.schema("part int, clicks bigint, date string").parquet(f"{root}/closed")

@@ -5,10 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Open windows and seen lines and ids live off-heap and on the executors' disks and are checkpointed as changes only. All of an
+#: executor's state shares one cache and one write buffer: each partition's own would be some 100 MB, whatever the executor has.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+}
+
 #: What the jobs assume.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,10 +26,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
-    # open windows and seen ids live off-heap and are checkpointed as changes only
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE,
 }
 
 
@@ -55,15 +62,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries that end inside leave no shuffle files; without it these stay until the driver happens to collect its garbage."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, "false")
-    spark.conf.set(setting, "true")
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Settings that hold inside; keys use ``__`` for a dot. Queries keep those they were started with."""
+    conf = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that end inside leave no shuffle files; without it these stay until the driver happens to collect its garbage."""
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

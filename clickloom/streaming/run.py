@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from clickloom.session import STATE, settings
+
 
 def _writer(df: DataFrame, checkpoint: str, every: str | None) -> DataStreamWriter:
     """``every`` is the batch interval; without it the query takes what is there and ends."""
@@ -25,12 +27,17 @@ def state_partitions(spark: SparkSession, number: int) -> Iterator[None]:
     open at once. The session's shuffle partitions remain the upper bound.
     """
     setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(max(1, min(int(before), number))))
-    try:
+    with settings(spark, **{setting: str(max(1, min(int(spark.conf.get(setting)), number)))}):
         yield
-    finally:
-        spark.conf.set(setting, before)
+
+
+def state_on_disk(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries first started inside keep their state as :data:`~clickloom.session.STATE` says, whatever the session's settings.
+
+    Spark's default holds all keys of all partitions on the executors' heaps, two versions of them, so a state that grows with the
+    input needs executors that grow with it.
+    """
+    return settings(spark, **STATE)
 
 
 def append_files(df: DataFrame, path: str, checkpoint: str, every: str | None = None,

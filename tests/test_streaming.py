@@ -16,7 +16,7 @@ from clickloom.streaming import (
     start_counts, start_documents, timed_clicks, windowed_counts,
 )
 from clickloom.streaming.replay import deliver
-from tests.conftest import SAMPLE, click
+from tests.conftest import SAMPLE, TABLES, click
 
 START = 1433894400  # 2015-06-10 00:00:00
 
@@ -268,3 +268,23 @@ def test_late_lines(spark, landing, folder):
     raw = spark.read.text(str(landing.path)).withColumnRenamed("value", "event")
     late = {(json.loads(r.event)["_id"], r.time, r.clicks) for r in late_lines(raw, counted).collect()}
     assert late == {(SAMPLE["_id"], "07:08", 1), ("late", "07:08", 2)}
+
+
+def test_the_daily_counter_keeps_its_state_on_disk_in_any_session(spark, monkeypatch):
+    from clickloom import catalog
+    from clickloom.session import STATE, settings
+
+    seen, started = {}, catalog.append_files
+
+    def start(*args):
+        seen.update({key: spark.conf.get(key) for key in STATE}, partitions=spark.conf.get("spark.sql.shuffle.partitions"))
+        return started(*args)
+
+    monkeypatch.setattr(catalog, "append_files", start)
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    with settings(spark, **{provider: heap}):  # Spark's default
+        got = catalog.stream_daily(spark, TABLES)
+        assert spark.conf.get(provider) == heap
+    assert {key: seen[key] for key in STATE} == STATE and int(seen["partitions"]) <= 4 * spark.sparkContext.defaultParallelism
+    assert rows_of(got) == rows_of(reads.daily_counters(raw_by_day(catalog.derived_lines(spark, TABLES))))
